@@ -19,7 +19,7 @@ def to_partial_date(column: Column) -> Column:
         .when(F.length(text) == 7, F.concat(text, F.lit("-01")))
         .otherwise(text)
     )
-    return F.try_to_date(padded, "yyyy-MM-dd")
+    return F.when(padded.rlike(r"^\d{4}-\d{2}-\d{2}\z"), padded.try_cast("date"))
 
 
 def cast_columns(

@@ -61,17 +61,17 @@ def with_minmax(df: DataFrame, targets: Mapping[str, str], constant: float | Non
         F.struct(
             *[F.min(c).alias(f"low_{i}") for i, c in enumerate(targets)],
             *[F.max(c).alias(f"high_{i}") for i, c in enumerate(targets)],
-        ).alias("bounds")
+        )
     ).scalar()
     scaled = {}
     for i, (source, target) in enumerate(targets.items()):
-        low, high = bounds[f"low_{i}"], bounds[f"high_{i}"]
-        scaled[target] = F.try_divide(F.col(source) - low, high - low)
+        low, high = F.col(f"_bounds.low_{i}"), F.col(f"_bounds.high_{i}")
+        value = F.try_divide(F.col(source) - low, high - low)
         if constant is not None:
-            scaled[target] = F.when(high == low, F.when(F.col(source).isNotNull(), F.lit(constant))).otherwise(
-                scaled[target]
-            )
-    return df.withColumns(scaled)
+            value = F.when((high == low) & F.col(source).isNotNull(), F.lit(constant)).otherwise(value)
+        scaled[target] = value
+    # The subquery is a column of its own, so that it is planned once and not once per use.
+    return df.withColumn("_bounds", bounds).withColumns(scaled).drop("_bounds")
 
 
 def with_share_of_max(df: DataFrame, source: str, target: str, scale: float = 100) -> DataFrame:

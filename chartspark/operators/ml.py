@@ -22,10 +22,13 @@ def scaled_features(df: DataFrame, features: Sequence[str] = ML_FEATURES, suffix
 
 
 def scaled_vectors(df: DataFrame, features: Sequence[str] = ML_FEATURES) -> DataFrame:
-    """The complete rows with their scaled features as one vector, stored, since every fit reads them again."""
+    """The complete rows with their scaled features as one vector.
+
+    The rows are stored first, since the scaling and every fit read them again.
+    """
     scaled = [f"_scaled_{i}" for i in range(len(features))]
-    rows = with_minmax(complete_rows(df, features), dict(zip(features, scaled)), constant=0.0)
-    return materialise(VectorAssembler(inputCols=scaled, outputCol=VECTOR).transform(rows).drop(*scaled))
+    rows = with_minmax(materialise(complete_rows(df, features)), dict(zip(features, scaled)), constant=0.0)
+    return VectorAssembler(inputCols=scaled, outputCol=VECTOR).transform(rows).drop(*scaled)
 
 
 def with_clusters(
@@ -65,8 +68,9 @@ def elbow_curve(
 ) -> DataFrame:
     """Inertia for each number of clusters."""
     low, high = ELBOW_RANGE
+    stored = materialise(vectors.select(vector))
     curve = [
-        (k, KMeans(k=k, seed=seed, featuresCol=vector).fit(vectors).summary.trainingCost)
+        (k, KMeans(k=k, seed=seed, featuresCol=vector).fit(stored).summary.trainingCost)
         for k in (range(low, high + 1) if ks is None else ks)
     ]
     return vectors.sparkSession.createDataFrame(curve, "k int, inertia double")

@@ -4,7 +4,7 @@ A query takes the session and the folder of the tables. Dates are returned as te
 two engines can be compared value by value.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -33,12 +33,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded and dates as text."""
+def comparable(df: DataFrame, averages: Sequence[str] = (), digits: int = 6) -> DataFrame:
+    """Averages rounded and dates as text."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
-        if kind == "double":
+        if name in averages:
             column = F.round(column, digits)
         elif kind == "date":
             column = column.cast("string")
@@ -46,8 +46,10 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*columns)
 
 
-def comparable_sql(body: str, doubles: list[str] = (), dates: list[str] = (), ctes: str = "", digits: int = 6) -> str:
-    replaced = [f'round("{c}", {digits}) AS "{c}"' for c in doubles] + [
+def comparable_sql(
+    body: str, averages: Sequence[str] = (), dates: Sequence[str] = (), ctes: str = "", digits: int = 6
+) -> str:
+    replaced = [f'round("{c}", {digits}) AS "{c}"' for c in averages] + [
         f"CAST({c} AS VARCHAR) AS {c}" for c in dates
     ]
     star = f"* REPLACE ({', '.join(replaced)})" if replaced else "*"
@@ -113,7 +115,7 @@ def duration_minutes(spark, sf):
     SELECT p_partkey AS partkey, (p_size - low_s) / nullif(high_s - low_s, 0) AS size,
            (p_retailprice - low_p) / nullif(high_p - low_p, 0) AS price
     FROM part, (SELECT min(p_size) AS low_s, max(p_size) AS high_s, min(p_retailprice) AS low_p,
-                max(p_retailprice) AS high_p FROM part)""", ["size", "price"]))
+                max(p_retailprice) AS high_p FROM part)"""))
 def minmax_scale(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     scaled = features.with_minmax(part, {"p_size": "size", "p_retailprice": "price"})
@@ -122,8 +124,7 @@ def minmax_scale(spark, sf):
 
 @query(comparable_sql("""
     SELECT c_custkey AS custkey, c_acctbal / nullif((SELECT max(c_acctbal) FROM customer), 0) * 100 AS popularity,
-           c_acctbal / nullif((SELECT max(c_acctbal) FROM customer), 0) AS share FROM customer""",
-    ["popularity", "share"]))
+           c_acctbal / nullif((SELECT max(c_acctbal) FROM customer), 0) AS share FROM customer"""))
 def max_popularity(spark, sf):
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_acctbal")
     shared = customer.transform(features.with_share_of_max, "c_acctbal", "popularity").transform(
@@ -158,8 +159,7 @@ def popularity_bins_cut(spark, sf):
 @query(comparable_sql("""
     SELECT l_orderkey AS orderkey, l_linenumber AS line, l_partkey AS partkey,
            l_discount * l_tax / nullif(l_quantity / 50 + 1, 0) AS energy_efficiency,
-           l_quantity * l_discount * l_tax AS emotional_impact FROM lineitem""",
-    ["energy_efficiency", "emotional_impact"]))
+           l_quantity * l_discount * l_tax AS emotional_impact FROM lineitem"""))
 def derived_features(spark, sf):
     c = F.col
     return comparable(table(spark, sf, "lineitem").select(
@@ -294,7 +294,7 @@ def candidate_pick_list(spark, sf):
     )
 
 
-_WORD = WHITESPACE.replace("[", "[^", 1) + "+"
+_WORD = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
 _UPPER_SQL = r"regexp_matches({x}, '\p{{Lu}}') AND NOT regexp_matches({x}, '[\p{{Ll}}\p{{Lt}}ªº]')"
 
 
@@ -357,7 +357,7 @@ _FEATURES_SQL = "features AS (SELECT CAST(p_partkey AS VARCHAR) AS track_id, " +
 @query(comparable_sql("""
     SELECT track_id, l_orderkey AS orderkey, l_linenumber AS line, features.* EXCLUDE (track_id)
     FROM (SELECT *, CAST(l_partkey AS VARCHAR) AS track_id FROM lineitem) LEFT JOIN features USING (track_id)""",
-    [c for c, e in _PART_FEATURES.items() if "%" not in e], ctes=_FEATURES_SQL))
+    ctes=_FEATURES_SQL))
 def feature_lookup(spark, sf):
     tracks = table(spark, sf, "lineitem").select(
         F.col("l_partkey").cast("string").alias("track_id"),
@@ -411,7 +411,7 @@ def _album_payloads(spark, sf) -> DataFrame:
         line.alias("name"),
         F.lit("2021-03").alias("release_date"),
         F.length(line).cast("bigint").alias("total_tracks"),
-        F.transform(F.split(line, " "), lambda w: F.struct(w.alias("id"), w.alias("name"))).alias("artists"),
+        F.transform(F.split(line, ","), lambda w: F.struct(w.alias("id"), w.alias("name"))).alias("artists"),
         F.array("lang", "source").alias("available_markets"),
     ))
     return table(spark, sf, "documents").select(
@@ -430,7 +430,7 @@ def _album_details(spark, sf) -> DataFrame:
 
 @query(f"""
     SELECT artist, album_name, '2021-03' AS release_date, CAST(length(album_name) AS BIGINT) AS total_tracks,
-           CAST(len(string_split(album_name, ' ')) AS BIGINT) AS n_artists,
+           CAST(len(string_split(album_name, ',')) AS BIGINT) AS n_artists,
            CAST(len(regexp_extract_all(album_name, '{_WORD}')) AS BIGINT) AS n_words_in_name,
            CAST(2 AS BIGINT) AS available_markets, {_UPPER_SQL.format(x="album_name")} AS is_album_name_capitalized,
            CAST(CASE WHEN length(album_name) > 100 THEN length(album_name) ELSE 0 END AS BIGINT) AS album_popularity,
@@ -447,12 +447,7 @@ def album_rows(spark, sf):
 
 # --- Formatted and enriched charts ------------------------------------------------------------------------
 
-_DERIVED = ["loudness_dB", "tempo_bpm", "loudness", "tempo", "energy_efficiency", "emotional_impact", "duration_min",
-            "energy", "danceability", "speechiness", "acousticness", "instrumentalness", "liveness", "valence"]
-
-
-@query(comparable_sql("SELECT * FROM formatted_a", _DERIVED, ["release_date"],
-                      f"{inputs.NATIONS_SQL}, {inputs.RAW_A_SQL}, {inputs.FORMATTED_A_SQL}"))
+@query(comparable_sql("SELECT * FROM formatted_a", [], ["release_date"], f"{inputs.NATIONS_SQL}, {inputs.RAW_A_SQL}, {inputs.FORMATTED_A_SQL}"))
 def formatted_chart(spark, sf):
     return comparable(inputs.formatted_a(spark, sf))
 
@@ -460,8 +455,7 @@ def formatted_chart(spark, sf):
 _B_SQL = f"{inputs.ENRICHED_B_SQL}, {inputs.FORMATTED_B_SQL}"
 
 
-@query(comparable_sql("SELECT * FROM formatted_b", [*_DERIVED, "lastfm_popularity"], ["release_date"],
-                      f"{inputs.NATIONS_SQL}, {_B_SQL}"))
+@query(comparable_sql("SELECT * FROM formatted_b", [], ["release_date"], f"{inputs.NATIONS_SQL}, {_B_SQL}"))
 def formatted_chart_b(spark, sf):
     return comparable(inputs.formatted_b(spark, sf))
 
@@ -492,7 +486,7 @@ def _top_raw(spark, sf) -> tuple[DataFrame, DataFrame]:
 def _enriched_sql(on: str) -> str:
     return comparable_sql(f"""
     SELECT b.*, t.* EXCLUDE (track_name, artist) FROM b LEFT JOIN tracks t ON {on}""",
-    [c for c, e in _PART_FEATURES.items() if "%" not in e], ctes=f"""{inputs.NATIONS_SQL}, {inputs.TOP_CHARTS_SQL}, {_FEATURES_SQL},
+    ctes=f"""{inputs.NATIONS_SQL}, {inputs.TOP_CHARTS_SQL}, {_FEATURES_SQL},
     a AS (SELECT DISTINCT p_name AS track_name, p_brand AS artist FROM top_a JOIN part ON partkey = p_partkey),
     b AS (SELECT country, rank, p_name AS track_name, p_brand AS artist
           FROM top_b JOIN part ON partkey = p_partkey JOIN nations USING (nationkey)),
@@ -547,7 +541,7 @@ def anti_new_keys(spark, sf):
         CASE WHEN p_size <= 45 THEN p_brand END AS brand FROM part) p
     LEFT JOIN (SELECT CASE WHEN p_size <= 45 THEN p_brand END AS brand, max(l_extendedprice) AS largest, count(*) AS n
                FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' GROUP BY ALL) b
-    ON p.brand IS NOT DISTINCT FROM b.brand""", ["largest"]))
+    ON p.brand IS NOT DISTINCT FROM b.brand"""))
 def enrich_left(spark, sf):
     brand = F.when(F.col("p_size") <= 45, F.col("p_brand")).alias("brand")
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("partkey"), brand)
@@ -573,7 +567,10 @@ _CHARTS_SQL = f"{inputs.NATIONS_SQL}, {inputs.RAW_A_SQL}, {inputs.FORMATTED_A_SQ
     FROM formatted_a a JOIN formatted_b b ON a.artist = b.artist AND a.track_name = b.track_name GROUP BY 1, 2""",
     ["lastfm_popularity_avg"], ctes=_CHARTS_SQL))
 def composite_join(spark, sf):
-    return comparable(datasets.artist_across_platforms(inputs.formatted_a(spark, sf), inputs.formatted_b(spark, sf)))
+    return comparable(
+        datasets.artist_across_platforms(inputs.formatted_a(spark, sf), inputs.formatted_b(spark, sf)),
+        ["lastfm_popularity_avg"],
+    )
 
 
 def _parties(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -635,7 +632,7 @@ def release_gaps(spark, sf):
         F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("creator"),
         F.col("o_orderdate").cast("date").alias("released"),
     )
-    return comparable(rank.with_release_gap(releases, "creator", "released", "orderkey"), digits=8)
+    return comparable(rank.with_release_gap(releases, "creator", "released", "orderkey"))
 
 
 @query(f"WITH {inputs.TOP_CHARTS_SQL} SELECT nationkey, partkey, score, CAST(rank AS INTEGER) AS rank FROM top_a")
@@ -665,7 +662,7 @@ def _charts(spark, sf) -> DataFrame:
     return datasets.charts_by_source(a, b)
 
 
-@query(comparable_sql("SELECT * EXCLUDE (source) FROM charts", [*_DERIVED, "lastfm_popularity"], ["release_date"], _ALIGNED_SQL))
+@query(comparable_sql("SELECT * EXCLUDE (source) FROM charts", [], ["release_date"], _ALIGNED_SQL))
 def unioned_charts(spark, sf):
     return comparable(
         datasets.unioned_top_charts(
@@ -685,9 +682,12 @@ _CARRIED_SQL = ", ".join(f'"{c}"' for c in datasets.CARRIED)
                    artist NULLS FIRST, genre NULLS FIRST) AS n
         FROM charts JOIN (SELECT artist, genre FROM artists WHERE genre <> 'Unidentified') USING (artist)
         WINDOW t AS (PARTITION BY track_id))
-    WHERE n = 1""", [*_DERIVED, "lastfm_popularity", "avg_rank"], ["release_date"], f"{_ALIGNED_SQL}, {inputs.ARTISTS_SQL}"))
+    WHERE n = 1""", ["avg_rank"], ["release_date"], f"{_ALIGNED_SQL}, {inputs.ARTISTS_SQL}"))
 def unique_items(spark, sf):
-    return comparable(datasets.unique_songs(_charts(spark, sf), inputs.artists(spark, sf)))
+    return comparable(datasets.unique_songs(_charts(spark, sf), inputs.artists(spark, sf)), ["avg_rank"])
+
+
+_GENRE_AVERAGES = ["avg_ranking", "avg_song_popularity_on_spotify", "avg_listeners_on_lastfm"]
 
 
 @query(comparable_sql("""
@@ -698,10 +698,17 @@ def unique_items(spark, sf):
            CAST(sum(CASE WHEN lastfm_popularity IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS num_top_songs_on_lastfm,
            count(*) AS total_songs_in_genre
     FROM charts JOIN artists USING (artist) WHERE genre <> 'Unidentified' GROUP BY genre""",
-    ["avg_ranking", "avg_song_popularity_on_spotify", "avg_listeners_on_lastfm", "max_listeners_on_lastfm"],
-    ctes=f"{_ALIGNED_SQL}, {inputs.ARTISTS_SQL}"))
+    _GENRE_AVERAGES, ctes=f"{_ALIGNED_SQL}, {inputs.ARTISTS_SQL}"))
 def genre_performance(spark, sf):
-    return comparable(datasets.genres_performance(_charts(spark, sf), inputs.artists(spark, sf)))
+    return comparable(
+        datasets.genres_performance(_charts(spark, sf), inputs.artists(spark, sf)), _GENRE_AVERAGES
+    )
+
+
+_ARTIST_AVERAGES = [
+    "avg_album_popularity", "avg_song_rank", "avg_song_popularity_on_spotify", "avg_total_tracks",
+    "avg_available_markets", "avg_n_artists", "avg_words_in_album_name", "avg_months_between_releases",
+]
 
 
 @query(comparable_sql("""
@@ -715,14 +722,14 @@ def genre_performance(spark, sf):
            avg(a.available_markets) AS avg_available_markets, avg(a.n_artists) AS avg_n_artists,
            avg(a.n_words_in_name) AS avg_words_in_album_name, avg(a.gap) AS avg_months_between_releases
     FROM gapped a JOIN songs s ON a.artist = s.artist GROUP BY a.artist""",
-    ["avg_album_popularity", "avg_song_rank", "avg_song_popularity_on_spotify", "avg_total_tracks", "avg_available_markets",
-     "avg_n_artists", "avg_words_in_album_name", "avg_months_between_releases"],
-    ctes=f"""{inputs.ALBUMS_SQL}, {inputs.SONGS_SQL},
+    _ARTIST_AVERAGES, ctes=f"""{inputs.ALBUMS_SQL}, {inputs.SONGS_SQL},
     gapped AS (SELECT *, {inputs.MONTHS_SQL.format(a="next_date", b="release_date")} AS gap
                FROM (SELECT *, lead(release_date) OVER (PARTITION BY artist ORDER BY release_date, o_orderkey) AS next_date
                      FROM dated_albums))"""))
 def artist_performance(spark, sf):
-    return comparable(datasets.artists_performance(inputs.albums(spark, sf), inputs.songs(spark, sf)))
+    return comparable(
+        datasets.artists_performance(inputs.albums(spark, sf), inputs.songs(spark, sf)), _ARTIST_AVERAGES
+    )
 
 
 _VIRAL_COLUMNS = ["country", "rank", "track_id", "track_name", "artist", "spotify_popularity", "track_age_days"]
@@ -757,7 +764,7 @@ _TOP_ORDER = ["rank", "track_id"]
     FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY rank, track_id,
               {", ".join(f'"{c}" NULLS FIRST' for c in datasets.TOP_TRACK)}) AS n FROM formatted_a)
     LEFT JOIN artists USING (artist) WHERE n = 1""",
-    [c for c in datasets.TOP_TRACK if c in _DERIVED], ctes=f"{_CHARTS_SQL}, {inputs.ARTISTS_SQL}"))
+    ctes=f"{_CHARTS_SQL}, {inputs.ARTISTS_SQL}"))
 def top1_per_country(spark, sf):
     return comparable(datasets.top1_songs(inputs.formatted_a(spark, sf), inputs.artists(spark, sf), _TOP_ORDER))
 
@@ -766,7 +773,7 @@ def top1_per_country(spark, sf):
     SELECT track_name, artist, count(DISTINCT country) AS countries_count, avg(spotify_popularity) AS avg_popularity
     FROM formatted_a GROUP BY ALL HAVING count(DISTINCT country) > 1""", ["avg_popularity"], ctes=_CHARTS_SQL))
 def cross_country(spark, sf):
-    return comparable(datasets.cross_country_popularity(inputs.formatted_a(spark, sf)))
+    return comparable(datasets.cross_country_popularity(inputs.formatted_a(spark, sf)), ["avg_popularity"])
 
 
 @query(comparable_sql("""
@@ -775,7 +782,13 @@ def cross_country(spark, sf):
     ["avg_popularity"], ctes=f"{_CHARTS_SQL}, {inputs.ARTISTS_SQL}"))
 def genre_trends(spark, sf):
     known = inputs.artists(spark, sf).filter(F.col("artist") != "Brand#7")
-    return comparable(datasets.genre_trends(inputs.formatted_a(spark, sf), known))
+    return comparable(datasets.genre_trends(inputs.formatted_a(spark, sf), known), ["avg_popularity"])
+
+
+_FACTOR_AVERAGES = [
+    "avg_album_popularity", "avg_n_artists", "avg_available_markets", "avg_total_tracks", "avg_words_in_album_name",
+    "avg_months_since_release", "avg_track_popularity",
+]
 
 
 @query(comparable_sql(f"""
@@ -788,11 +801,11 @@ def genre_trends(spark, sf):
            avg(spotify_popularity) AS avg_track_popularity, max(spotify_popularity) AS max_track_popularity,
            count(DISTINCT album_name) AS total_albums
     FROM dated_albums a JOIN songs s ON a.artist = s.artist GROUP BY a.artist""",
-    ["avg_album_popularity", "avg_n_artists", "avg_available_markets", "avg_total_tracks", "avg_words_in_album_name",
-     "avg_months_since_release", "avg_track_popularity"], ctes=f"{inputs.ALBUMS_SQL}, {inputs.SONGS_SQL}"))
+    _FACTOR_AVERAGES, ctes=f"{inputs.ALBUMS_SQL}, {inputs.SONGS_SQL}"))
 def artist_factors(spark, sf):
     today = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).scalar()
-    return comparable(datasets.artist_popularity_factors(inputs.albums(spark, sf), inputs.songs(spark, sf), today))
+    factors = datasets.artist_popularity_factors(inputs.albums(spark, sf), inputs.songs(spark, sf), today)
+    return comparable(factors, _FACTOR_AVERAGES)
 
 
 @query("SELECT DISTINCT p_name AS track_name, p_brand AS artist FROM lineitem JOIN part ON l_partkey = p_partkey")
@@ -807,9 +820,9 @@ def distinct_songs(spark, sf):
                  row_number() OVER (PARTITION BY explicit ORDER BY country NULLS LAST, rank NULLS LAST,
                      {", ".join(f'"{c}" NULLS FIRST' for c in datasets.FLAG_CARRIED)}) AS n
           FROM formatted_a WINDOW e AS (PARTITION BY explicit)) WHERE n = 1""",
-    ["avg_popularity", *[c for c in datasets.FLAG_CARRIED if c in _DERIVED]], ["release_date"], _CHARTS_SQL))
+    ["avg_popularity"], ["release_date"], _CHARTS_SQL))
 def flag_impact(spark, sf):
-    return comparable(datasets.explicit_impact(inputs.formatted_a(spark, sf)))
+    return comparable(datasets.explicit_impact(inputs.formatted_a(spark, sf)), ["avg_popularity"])
 
 
 # --- Data quality -----------------------------------------------------------------------------------------
@@ -907,7 +920,7 @@ _NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 @query(comparable_sql(f"""
     SELECT l_orderkey AS orderkey, l_linenumber AS line, l_partkey AS partkey,
            {", ".join(f"({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0) AS {c}_scaled" for c in _NUMERIC)},
-           CAST(0 AS DOUBLE) AS flat_scaled FROM lineitem""", [f"{c}_scaled" for c in _NUMERIC]))
+           CAST(0 AS DOUBLE) AS flat_scaled FROM lineitem"""))
 def scaled_features(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *_NUMERIC, F.lit(3.0).alias("flat"))
     scaled = ml.scaled_features(lines, [*_NUMERIC, "flat"])
