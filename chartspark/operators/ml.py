@@ -1,7 +1,9 @@
 """Clusters and low-dimensional layouts of songs with Spark ML."""
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -64,15 +66,25 @@ def enhanced_songs(
 
 
 def elbow_curve(
-    vectors: DataFrame, ks: Sequence[int] | None = None, seed: int = ML_SEED, vector: str = VECTOR
+    vectors: DataFrame,
+    ks: Sequence[int] | None = None,
+    seed: int = ML_SEED,
+    vector: str = VECTOR,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Inertia for each number of clusters."""
+    """Inertia for each number of clusters; the fits share one cached input and run ``parallelism`` at a time."""
     low, high = ELBOW_RANGE
-    stored = materialise(vectors.select(vector))
-    curve = [
-        (k, KMeans(k=k, seed=seed, featuresCol=vector).fit(stored).summary.trainingCost)
-        for k in (range(low, high + 1) if ks is None else ks)
-    ]
+    ks = range(low, high + 1) if ks is None else ks
+    cached = materialise(vectors.select(vector)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def inertia(k: int) -> tuple[int, float]:
+        return k, KMeans(k=k, seed=seed, featuresCol=vector).fit(cached).summary.trainingCost
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            curve = pool.map(inheritable_thread_target(vectors.sparkSession)(inertia), ks)
+    finally:
+        cached.unpersist()
     return vectors.sparkSession.createDataFrame(curve, "k int, inertia double")
 
 

@@ -123,19 +123,14 @@ def with_country_code(chart: DataFrame, countries: DataFrame) -> DataFrame:
     return lookup(chart, countries.select("country", "country_code"), "country")
 
 
-def aligned_charts(chart_a: DataFrame, chart_b: DataFrame, countries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both charts with country code and all columns; B's columns come first."""
-    b, a = align(with_country_code(chart_b, countries), with_country_code(chart_a, countries))
-    return a, b
-
-
-def charts_by_source(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Both aligned charts; ``source`` is 0 for A and 1 for B."""
+def charts_by_source(chart_a: DataFrame, chart_b: DataFrame) -> DataFrame:
+    """Both charts with all columns, B's first; ``source`` is 0 for A and 1 for B."""
+    b, a = align(chart_b, chart_a)
     return a.withColumn("source", F.lit(0)).unionByName(b.withColumn("source", F.lit(1)))
 
 
 def unioned_top_charts(chart_a: DataFrame, chart_b: DataFrame, countries: DataFrame) -> DataFrame:
-    a, b = aligned_charts(chart_a, chart_b, countries)
+    b, a = align(with_country_code(chart_b, countries), with_country_code(chart_a, countries))
     return a.unionByName(b)
 
 
@@ -146,14 +141,17 @@ def _identified(artists: DataFrame) -> DataFrame:
 def unique_songs(
     charts: DataFrame,
     artists: DataFrame,
+    countries: DataFrame,
     carried: Sequence[str] = CARRIED,
     order: Sequence[str] = ("source", "country", "rank"),
     drop_null_key: bool = False,
 ) -> DataFrame:
     """One row per track of an identified artist: entries, best and average rank, and its first entry's columns.
 
-    Tracks without an id fall into one row, unless ``drop_null_key``.
+    Tracks without an id fall into one row, unless ``drop_null_key``. The country code is looked up last, for
+    the chosen entries only.
     """
+    from_entry = ["country", *[c for c in carried if c not in ("artist", "country_code")]]
     if drop_null_key:
         charts = charts.filter(F.col("track_id").isNotNull())
     per_artist = (
@@ -164,10 +162,10 @@ def unique_songs(
             F.min("rank").alias("best"),
             F.sum("rank").alias("rank_sum"),
             F.count("rank").alias("rank_count"),
-            first_row([c for c in carried if c != "artist"], order).alias("first"),
+            first_row(from_entry, order).alias("first"),
         )
     )
-    return (
+    songs = (
         per_artist.join(_identified(artists), "artist")
         .groupBy("track_id")
         .agg(
@@ -176,14 +174,10 @@ def unique_songs(
             F.try_divide(F.sum("rank_sum"), F.sum("rank_count")).alias("avg_rank"),
             F.min(F.struct("first", F.struct("artist", "genre").alias("who"))).alias("pick"),
         )
-        .select(
-            "track_id",
-            "num_countries",
-            "best_rank",
-            "avg_rank",
-            *[F.col("pick.who.artist") if c == "artist" else F.col(f"pick.first.row.{c}") for c in carried],
-            F.col("pick.who.genre"),
-        )
+        .select("track_id", "num_countries", "best_rank", "avg_rank", "pick.first.row.*", "pick.who.*")
+    )
+    return with_country_code(songs, countries).select(
+        "track_id", "num_countries", "best_rank", "avg_rank", *carried, "genre"
     )
 
 
@@ -234,8 +228,9 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     aggregated alone and the pairs are never made.
     """
     albums = albums.filter(F.col("artist").isNotNull()).withColumn("release_date", to_partial_date(F.col("release_date")))
+    # The genre goes with the artist. Taken apart, it leaves the measures to a hash aggregate.
+    genres = albums.select("artist", "genre").distinct().groupBy("artist").agg(F.min("genre").alias("genre"))
     album_side = albums.groupBy("artist").agg(
-        first_row(["genre"], ["release_date", "album_name"])["row"]["genre"].alias("genre"),
         F.count_distinct("album_name").alias("total_albums"),
         F.count("*").alias("n_albums"),
         F.sum("album_popularity").alias("album_popularity"),
@@ -262,6 +257,7 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     gaps = average_release_gap(albums, "artist", "release_date", "avg_months_between_releases")
     return (
         album_side.join(song_side, "artist")
+        .join(genres, "artist")
         .join(gaps, "artist", "left")
         .select(
             "artist",

@@ -13,6 +13,7 @@ from chartspark import schemas
 from chartspark.fixed_values import CHART_SIZE, PUBLISH_FLOOR
 from chartspark.operators import ml
 from chartspark.operators.relate import unseen_rows
+from chartspark.operators.unite import align
 from chartspark.plans import datasets
 from chartspark.sources import documents, landing
 from chartspark.sources.storage import read_if_exists, read_table, write_table
@@ -118,15 +119,15 @@ def augment(
 
 def combine(lake: Lake) -> None:
     countries = landing.country_table(lake.spark)
-    a, b = datasets.aligned_charts(lake.read(CHART_A), lake.read(CHART_B), countries)
+    a, b, artists = lake.read(CHART_A), lake.read(CHART_B), lake.read(ARTISTS)
     charts = datasets.charts_by_source(a, b)
-    artists = lake.read(ARTISTS)
+    _, aligned_a = align(b, a)
     products = {
-        "unioned_top_charts": charts.drop("source"),
-        "unique_songs": datasets.unique_songs(charts, artists),
+        "unioned_top_charts": datasets.unioned_top_charts(a, b, countries),
+        "unique_songs": datasets.unique_songs(charts, artists, countries),
         "genres_performance": datasets.genres_performance(charts, artists),
         "artists_performance": datasets.artists_performance(lake.read(ALBUMS), a),
-        "viral_spotify_songs": datasets.recent_songs(a),
+        "viral_spotify_songs": datasets.recent_songs(datasets.with_country_code(aligned_a, countries)),
         "top1_spotify_songs": datasets.top1_songs(a, artists),
     }
     for name, df in products.items():

@@ -478,7 +478,7 @@ def _track_searches(spark, sf) -> DataFrame:
 
 
 def _top_raw(spark, sf) -> tuple[DataFrame, DataFrame]:
-    columns = ["country", "rank", F.col("p_name").alias("track_name"), F.col("p_brand").alias("artist")]
+    columns = ["country", F.col("rank").cast("bigint").alias("rank"), F.col("p_name").alias("track_name"), F.col("p_brand").alias("artist")]
     a, b = inputs.scored_a(spark, sf), inputs.scored_b(spark, sf)
     return tuple(_chart_rows(spark, sf, inputs.top_chart(x)).select(*columns) for x in (a, b))
 
@@ -656,10 +656,11 @@ _ALIGNED_SQL = f"""{_CHARTS_SQL},
 
 
 def _charts(spark, sf) -> DataFrame:
-    a, b = datasets.aligned_charts(
-        inputs.formatted_a(spark, sf), inputs.formatted_b(spark, sf), _countries(spark, sf)
-    )
-    return datasets.charts_by_source(a, b)
+    return datasets.charts_by_source(inputs.formatted_a(spark, sf), inputs.formatted_b(spark, sf))
+
+
+def _songs(spark, sf, **options) -> DataFrame:
+    return datasets.unique_songs(_charts(spark, sf), inputs.artists(spark, sf), _countries(spark, sf), **options)
 
 
 @query(comparable_sql("SELECT * EXCLUDE (source) FROM charts", [], ["release_date"], _ALIGNED_SQL))
@@ -678,13 +679,13 @@ _CARRIED_SQL = ", ".join(f'"{c}"' for c in datasets.CARRIED)
     SELECT track_id, num_countries, best_rank, avg_rank, {_CARRIED_SQL}, genre FROM (
         SELECT *, count(track_name) OVER t AS num_countries, min(rank) OVER t AS best_rank, avg(rank) OVER t AS avg_rank,
                row_number() OVER (PARTITION BY track_id ORDER BY source, country NULLS LAST, rank NULLS LAST,
-                   {", ".join(f'"{c}" NULLS FIRST' for c in datasets.CARRIED if c != "artist")},
+                   {", ".join(f'"{c}" NULLS FIRST' for c in datasets.CARRIED if c not in ("artist", "country_code"))},
                    artist NULLS FIRST, genre NULLS FIRST) AS n
         FROM charts JOIN (SELECT artist, genre FROM artists WHERE genre <> 'Unidentified') USING (artist)
         WINDOW t AS (PARTITION BY track_id))
     WHERE n = 1""", ["avg_rank"], ["release_date"], f"{_ALIGNED_SQL}, {inputs.ARTISTS_SQL}"))
 def unique_items(spark, sf):
-    return comparable(datasets.unique_songs(_charts(spark, sf), inputs.artists(spark, sf)), ["avg_rank"])
+    return comparable(_songs(spark, sf), ["avg_rank"])
 
 
 _GENRE_AVERAGES = ["avg_ranking", "avg_song_popularity_on_spotify", "avg_listeners_on_lastfm"]
@@ -952,5 +953,4 @@ def elbow_curve(spark, sf):
 
 @query()
 def cluster_genre(spark, sf):
-    songs = datasets.unique_songs(_charts(spark, sf), inputs.artists(spark, sf), drop_null_key=True)
-    return ml.cluster_profile(ml.enhanced_songs(songs))
+    return ml.cluster_profile(ml.enhanced_songs(_songs(spark, sf, drop_null_key=True)))
