@@ -48,5 +48,6 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def lookup(df: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Left join to a table with one row per key; an unknown key gives NULLs."""
-    return df.join(dimension, on, "left")
+    """Left join to a table with one row per key; an unknown key gives NULLs. The columns keep their order."""
+    added = [c for c in dimension.columns if c not in df.columns]
+    return df.join(dimension, on, "left").select(*df.columns, *added)

@@ -1,0 +1,145 @@
+from datetime import date
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from chartspark.functions import casts, features, text
+from chartspark.functions.classify import keyword_genre, tag_genre
+
+
+def column(df):
+    return [row[0] for row in df.collect()]
+
+
+def test_partial_dates(spark):
+    texts = ["2020", "2021-03", "2022-05-06", None, "soon", "2022-13-01", "2022-1-3", "2022-02-30", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    assert column(df.select(casts.to_partial_date(F.col("d")))) == [
+        date(2020, 1, 1), date(2021, 3, 1), date(2022, 5, 6), None, None, None, None, None, None,
+    ]
+
+
+def test_casts_are_lenient(spark):
+    df = spark.createDataFrame(
+        [("1.5", "7", "true", "2020"), ("x", "3.7", "maybe", "x"), (None, "99999999999", None, None)],
+        "num string, whole string, flag string, day string",
+    )
+    rows = df.transform(casts.cast_columns, ["num"], ["whole"], ["flag"], "day").collect()
+    assert [tuple(r) for r in rows] == [(1.5, 7, True, date(2020, 1, 1)), (None, 3, None, None), (None, None, None, None)]
+
+
+def test_popularity_category(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 33.0, 33.5, 66.0, 67.0, 100.0, 101.0, None)], "p double")
+    p = F.col("p")
+    assert column(df.select(features.popularity_category(p))) == [
+        "Low", "Low", "Medium", "Medium", "High", "High", "High", "High"]
+    assert column(df.select(features.popularity_category(p, null_label=None)))[-1] is None
+    assert column(df.select(features.popularity_category(p, bins="right_closed"))) == [
+        None, "Low", "Medium", "Medium", "High", "High", None, None]
+    with pytest.raises(ValueError):
+        features.popularity_category(p, bins="other")
+
+
+def test_minmax(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, None)], "a double, b double")
+    rows = df.transform(features.with_minmax, {"a": "x", "b": "y"}).select("x", "y").collect()
+    assert [tuple(r) for r in rows] == [(0.0, None), (1.0, None), (None, None)]
+    rows = df.transform(features.with_minmax, {"b": "y"}, constant=0.0).select("y").collect()
+    assert [r.y for r in rows] == [0.0, 0.0, None]
+
+
+@pytest.mark.parametrize("values", [[None, None], [0.0, None]])
+def test_share_of_a_missing_or_zero_maximum(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "listeners double")
+    assert column(df.transform(features.with_share_of_max, "listeners", "share").select("share")) == [None, None]
+
+
+def test_share_of_max(spark):
+    df = spark.createDataFrame([(1.0,), (4.0,)], "listeners double")
+    assert column(df.transform(features.with_share_of_max, "listeners", "share").select("share")) == [25.0, 100.0]
+
+
+def test_duration_and_indexes(spark):
+    df = spark.createDataFrame([(200000.0, 90.0)], "ms double, s double")
+    assert tuple(df.select(features.duration_minutes(F.col("ms")), features.duration_minutes(F.col("s"), "s", None)).first()) == (3.33, 1.5)
+    df = spark.createDataFrame([(0.5, 0.4, 0.25, 0.5), (0.5, 0.4, -1.0, 0.5)], "e double, d double, l double, v double")
+    efficiency = features.energy_efficiency(F.col("e"), F.col("d"), F.col("l"))
+    assert column(df.select(efficiency)) == [0.5 * 0.4 / 1.25, None]
+
+
+def test_audio_features(spark):
+    df = spark.createDataFrame(
+        [(date(2020, 1, 1), 60000.0, -10.0, 100.0, 0.5, 0.5, 0.5, 0.5), (None, 90000.0, -20.0, 100.0, 0.5, 0.5, 0.5, 0.5)],
+        "release_date date, duration_ms double, loudness double, tempo double, energy double, danceability double, "
+        "valence double, liveness double",
+    )
+    rows = df.transform(features.with_audio_features, F.lit("2020-01-15").cast("date")).collect()
+    assert [r.track_age_days for r in rows] == [14, None]
+    assert [r.duration_min for r in rows] == [1.0, 1.5]
+    assert [(r.loudness_dB, r.loudness) for r in rows] == [(-10.0, 1.0), (-20.0, 0.0)]
+    assert [(r.tempo_bpm, r.tempo) for r in rows] == [(100.0, None), (100.0, None)]
+    assert [r.energy_efficiency for r in rows] == [0.125, 0.25]
+    assert [r.emotional_impact for r in rows] == [0.125, 0.125]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs", "Cn"]) | st.sampled_from(" \t\xa0　aAßªǅ1'"), max_size=12), min_size=50, max_size=300))
+def test_name_measures_match_python(spark, names):
+    names += ["", "  two  words ", "OK GO!", "Ok", "123", "ÉTÉ", "Aª", "Ⅷ", "a b"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    name = F.col("n")
+    rows = df.select(name, text.word_count(name).alias("words"), text.remove_text(name).alias("plain")).collect()
+    for row in rows:
+        assert row.words == len(row.n.split())
+        assert row.plain == row.n.replace("'", "")
+
+
+def test_is_upper_matches_python(spark):
+    names = ["", "OK GO!", "Ok", "123", "ÉTÉ", "Aª", "Ⅷ", "ß", "AẞB", "ǅ", "Aǅ", "ΑΒΓ", "αβγ", "АБВ", "日本", "A日", "İ"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for row in df.select("n", text.is_upper(F.col("n")).alias("upper")).collect():
+        assert row.upper == row.n.isupper(), row.n
+
+
+@pytest.mark.parametrize("names, chosen", [
+    (["Song - Remaster", "Song", "Song Live"], "Song"),
+    (["Song - Remaster", "Song (Live)"], "Song (Live)"),
+    (["Song", "Other"], "Song"),
+    ([], None),
+    (None, None),
+])
+def test_first_clean(spark, names, chosen):
+    df = spark.createDataFrame([(names and [(n,) for n in names] if names != [] else [],)], "c array<struct<name string>>")
+    assert df.select(text.first_clean(F.col("c"))["name"]).first()[0] == chosen
+
+
+@pytest.mark.parametrize("tags, genre", [
+    (["trap"], "Hip-Hop"),
+    (["pop rock"], "Pop"),
+    (["indie folk"], "Electronic"),
+    (["neo soul"], "Pop"),
+    (["reggaeton"], "Pop"),
+    (["jazz", "pop"], "Jazz"),
+    (["unknown", "blues"], "Blues"),
+    (["Jazz"], "Unidentified"),
+    (["a", "b", "c", "d", "e", "jazz"], "Unidentified"),
+    ([None, "jazz"], "Jazz"),
+    ([], "Unidentified"),
+    (None, "Unidentified"),
+])
+def test_keyword_genre(spark, tags, genre):
+    df = spark.createDataFrame([(tags,)], "tags array<string>")
+    assert df.select(keyword_genre(F.col("tags"))).first()[0] == genre
+
+
+@pytest.mark.parametrize("tags, genre", [
+    (["trap music", "trap"], "Hip-Hop"),
+    (["psychedelic pop", "pop"], "Rock"),
+    (["americana"], "Country"),
+    (["x"], "Unidentified"),
+    ([], "Unidentified"),
+])
+def test_tag_genre(spark, tags, genre):
+    df = spark.createDataFrame([(tags,)], "tags array<string>")
+    assert df.select(tag_genre(F.col("tags"))).first()[0] == genre
