@@ -10,8 +10,8 @@ from chartspark.fixed_values import LOOKUP_BATCH
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group, numbered.
 
-    Spark cuts every input partition to n rows a group before the shuffle, so a hot group costs no more than
-    any other.
+    Spark cuts every input partition to n rows a group before the shuffle (for n up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``), so a hot group costs no more than any other.
     """
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
@@ -40,13 +40,23 @@ def head_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame
     return df.orderBy(*order).limit(n)
 
 
+def sorted_rows(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Sort, by the whole row where ``order`` ties.
+
+    The last key is the place of a row in the input. It only tells copies of a row apart, which lets Spark split
+    them over tasks, however many there are.
+    """
+    return df.orderBy(*order, F.struct(*df.columns), F.monotonically_increasing_id())
+
+
 def next_dates(df: DataFrame, creator: str, date: str) -> DataFrame:
     """Per creator and release date: the number of releases and the next later date.
 
     Rows are counted per date before the window, so it sees at most one row per calendar day, however many
     releases a creator has.
     """
-    per_date = df.filter(F.col(date).isNotNull()).groupBy(creator, date).agg(F.count("*").alias("n_releases"))
+    dated = df.select(creator, F.col(date).cast("date").alias(date)).filter(F.col(date).isNotNull())
+    per_date = dated.groupBy(creator, date).agg(F.count("*").alias("n_releases"))
     window = Window.partitionBy(creator).orderBy(date)
     return per_date.withColumn("next_date", F.lead(date).over(window))
 
@@ -70,7 +80,7 @@ def with_release_gap(
 ) -> DataFrame:
     """Add the months from each release to the creator's next one; NULL for the last.
 
-    ``tiebreak`` orders the releases of one day and must differ between them.
+    ``date`` has to be a date, and ``tiebreak``, which orders the releases of one day, has to differ between them.
     """
     last = (
         df.filter(F.col(date).isNotNull())

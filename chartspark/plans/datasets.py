@@ -17,7 +17,7 @@ from chartspark.functions.features import (
     with_popularity_category,
     with_share_of_max,
 )
-from chartspark.operators.rank import average_release_gap, first_row
+from chartspark.operators.rank import average_release_gap, first_row, sorted_rows
 from chartspark.operators.relate import enrich, lookup, one_per_key, unseen_keys
 from chartspark.operators.unite import align, aligned_union
 from chartspark.sources import landing
@@ -181,6 +181,17 @@ def unique_songs(
     )
 
 
+def song_countries(charts: DataFrame, artists: DataFrame) -> DataFrame:
+    """In how many different countries each track of an identified artist is on the charts."""
+    return (
+        charts.select("track_id", "artist", "country")
+        .distinct()
+        .join(_identified(artists), "artist")
+        .groupBy("track_id")
+        .agg(F.count_distinct("country").alias("n_distinct_countries"))
+    )
+
+
 def genres_performance(charts: DataFrame, artists: DataFrame) -> DataFrame:
     """Ranks, popularity, listeners and entries of each genre over both platforms."""
     per_artist = (
@@ -282,22 +293,20 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
 
 
 def recent_songs(
-    chart: DataFrame, days: int = VIRAL_DAYS, inclusive: bool = True, ties: Sequence[str] = ("country", "rank")
+    chart: DataFrame, days: int = VIRAL_DAYS, inclusive: bool = True, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Songs up to ``days`` old, the most popular first.
-
-    The order goes on through ``ties``, so that a popularity shared by very many songs still sorts in parallel.
-    """
+    """Songs up to ``days`` old, the most popular first."""
     age = F.col("track_age_days")
-    return chart.filter(age <= days if inclusive else age < days).orderBy(F.desc("spotify_popularity"), *ties)
+    recent = chart.filter(age <= days if inclusive else age < days)
+    return sorted_rows(recent.select(*columns or chart.columns), F.desc("spotify_popularity"))
 
 
 def new_tracks_performance(chart: DataFrame, days: int = 30) -> DataFrame:
-    return recent_songs(chart, days, inclusive=False).select("track_name", "artist", "release_date", "spotify_popularity")
+    return recent_songs(chart, days, False, ["track_name", "artist", "release_date", "spotify_popularity"])
 
 
 def viral_tracks(chart: DataFrame, days: int = 7) -> DataFrame:
-    return recent_songs(chart, days, inclusive=False).select("track_name", "artist", "spotify_popularity")
+    return recent_songs(chart, days, False, ["track_name", "artist", "spotify_popularity"])
 
 
 def top1_songs(chart: DataFrame, artists: DataFrame, order: Sequence[str] = ("rank",)) -> DataFrame:

@@ -688,6 +688,13 @@ def unique_items(spark, sf):
     return comparable(_songs(spark, sf), ["avg_rank"])
 
 
+@query(f"""WITH {_ALIGNED_SQL}, {inputs.ARTISTS_SQL}
+    SELECT track_id, count(DISTINCT country) AS n_distinct_countries
+    FROM charts JOIN artists USING (artist) WHERE genre <> 'Unidentified' GROUP BY track_id""")
+def song_countries(spark, sf):
+    return datasets.song_countries(_charts(spark, sf), inputs.artists(spark, sf))
+
+
 _GENRE_AVERAGES = ["avg_ranking", "avg_song_popularity_on_spotify", "avg_listeners_on_lastfm"]
 
 
@@ -739,7 +746,7 @@ _VIRAL_COLUMNS = ["country", "rank", "track_id", "track_name", "artist", "spotif
 @query(f"""WITH {_CHARTS_SQL}
     SELECT {", ".join(_VIRAL_COLUMNS)} FROM formatted_a WHERE track_age_days <= 14 ORDER BY spotify_popularity DESC, country, rank""")
 def viral_songs(spark, sf):
-    return datasets.recent_songs(inputs.formatted_a(spark, sf)).select(*_VIRAL_COLUMNS)
+    return datasets.recent_songs(inputs.formatted_a(spark, sf), columns=_VIRAL_COLUMNS)
 
 
 @query(f"""WITH {_CHARTS_SQL}

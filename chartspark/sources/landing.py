@@ -19,8 +19,8 @@ def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
     return payloads.withColumn("payload", F.from_json("payload", schema))
 
 
-def chart_a(payloads: DataFrame, countries: DataFrame) -> DataFrame:
-    """Rows of platform A's charts, from ``(country, payload)``.
+def chart_a(payloads: DataFrame, countries: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows of platform A's charts, from ``(country, payload)``, all or up to ``limit`` a country.
 
     The rank is the place in the payload, so an empty place leaves a gap.
     """
@@ -28,7 +28,7 @@ def chart_a(payloads: DataFrame, countries: DataFrame) -> DataFrame:
     rows = (
         _parsed(payloads, schemas.CHART_A_PAYLOAD)
         .select("country", F.posexplode("payload.items").alias("pos", "item"))
-        .filter(track.isNotNull())
+        .filter(track.isNotNull() if limit is None else track.isNotNull() & (F.col("pos") < limit))
         .select(
             "country",
             (F.col("pos") + 1).cast("bigint").alias("rank"),

@@ -19,6 +19,11 @@ def test_chart_a_ranks_keep_their_gaps(spark):
     ]
 
 
+def test_chart_a_limit(spark):
+    chart = landing.chart_a(golden.payloads(spark).chart_a, landing.country_table(spark), limit=3)
+    assert rows(chart.filter("country = 'France'").select("rank")) == [(1,), (3,)]
+
+
 def test_chart_b_limit(spark):
     chart = landing.chart_b(golden.payloads(spark).chart_b, landing.country_table(spark), limit=2)
     assert rows(chart.select("country", "rank", "track_name", "duration_ms")) == [

@@ -60,6 +60,11 @@ def test_top_n_and_head(spark):
         rank.head_rows(df, ["n"], -1)
 
 
+def test_sorted_rows_keeps_copies(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (1, "a"), (1, "b")], "n int, s string")
+    assert [tuple(r) for r in rank.sorted_rows(df, F.desc("n")).collect()] == [(2, "a"), (1, "a"), (1, "b"), (1, "b")]
+
+
 def test_first_row_keeps_nulls_of_one_row(spark):
     df = spark.createDataFrame(
         [("g", None, "none", 1), ("g", 2, None, 7), ("g", 3, "late", 9)], "g string, place int, name string, v int")
