@@ -1,6 +1,6 @@
 """Derived chart features."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -51,49 +51,63 @@ def emotional_impact(valence: Column, energy: Column, liveness: Column) -> Colum
     return valence * energy * liveness
 
 
-def with_minmax(df: DataFrame, targets: Mapping[str, str], constant: float | None = None) -> DataFrame:
-    """Add 0-1 scaled copies of columns, ``{source: target}``.
+def with_extremes(df: DataFrame, columns: Sequence[str], out: str = "_extremes") -> DataFrame:
+    """Add a struct of the smallest and largest value of each column over the whole frame.
 
-    The extremes of all columns come from one aggregate, read back as a scalar subquery, so nothing passes
-    through the driver program. A column without spread gives ``constant``.
+    All of them come from one aggregate, read back as a scalar subquery, so nothing passes through the driver
+    program. As a column of its own the subquery is planned once and not once per use.
     """
-    bounds = df.agg(
-        F.struct(
-            *[F.min(c).alias(f"low_{i}") for i, c in enumerate(targets)],
-            *[F.max(c).alias(f"high_{i}") for i, c in enumerate(targets)],
-        )
-    ).scalar()
-    scaled = {}
-    for i, (source, target) in enumerate(targets.items()):
-        low, high = F.col(f"_bounds.low_{i}"), F.col(f"_bounds.high_{i}")
-        value = F.try_divide(F.col(source) - low, high - low)
-        if constant is not None:
-            value = F.when((high == low) & F.col(source).isNotNull(), F.lit(constant)).otherwise(value)
-        scaled[target] = value
-    # The subquery is a column of its own, so that it is planned once and not once per use.
-    return df.withColumn("_bounds", bounds).withColumns(scaled).drop("_bounds")
+    extremes = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    return df.withColumn(out, df.agg(F.struct(*extremes)).scalar())
+
+
+def scaled(column: str, extremes: str = "_extremes", constant: float | None = None) -> Column:
+    """A column on a 0-1 scale between its extremes; ``constant`` where it has no spread."""
+    low, high = F.col(extremes)[column]["low"], F.col(extremes)[column]["high"]
+    value = F.try_divide(F.col(column) - low, high - low)
+    if constant is None:
+        return value
+    return F.when((high == low) & F.col(column).isNotNull(), F.lit(constant)).otherwise(value)
+
+
+def share_of_max(column: str, scale: float = 100, extremes: str = "_extremes") -> Column:
+    """A column as a share of its largest value; NULL where that is NULL or zero."""
+    return F.try_divide(F.col(column), F.col(extremes)[column]["high"]) * scale
+
+
+def with_minmax(df: DataFrame, targets: Mapping[str, str], constant: float | None = None) -> DataFrame:
+    """Add 0-1 scaled copies of columns, ``{source: target}``."""
+    copies = {target: scaled(source, constant=constant) for source, target in targets.items()}
+    return with_extremes(df, list(targets)).withColumns(copies).drop("_extremes")
 
 
 def with_share_of_max(df: DataFrame, source: str, target: str, scale: float = 100) -> DataFrame:
-    """Add a column as a share of its largest value; NULL where the largest is NULL or zero."""
-    largest = df.agg(F.max(source)).scalar()
-    return df.withColumn(target, F.try_divide(F.col(source), largest) * scale)
-
-
-def with_audio_features(df: DataFrame, as_of: Column | None = None, duration_unit: str = "ms") -> DataFrame:
-    """Age, minutes, 0-1 loudness and tempo, and the two composite indexes."""
-    df = df.withColumnsRenamed({"loudness": "loudness_dB", "tempo": "tempo_bpm"}).withColumns(
-        {
-            "track_age_days": age_in_days(F.col("release_date"), as_of),
-            "duration_min": duration_minutes(F.col("duration_ms"), duration_unit),
-        }
-    )
-    return with_minmax(df, {"loudness_dB": "loudness", "tempo_bpm": "tempo"}).withColumns(
-        {
-            "energy_efficiency": energy_efficiency(F.col("energy"), F.col("danceability"), F.col("loudness")),
-            "emotional_impact": emotional_impact(F.col("valence"), F.col("energy"), F.col("liveness")),
-        }
-    )
+    return with_extremes(df, [source]).withColumn(target, share_of_max(source, scale)).drop("_extremes")
+
+
+def with_audio_features(
+    df: DataFrame,
+    as_of: Column | None = None,
+    duration_unit: str = "ms",
+    shares: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Age, minutes, 0-1 loudness and tempo, and the two composite indexes.
+
+    ``shares`` adds columns as a percentage of their maximum, ``{source: target}``, at no further pass.
+    """
+    shares = shares or {}
+    renamed = df.withColumnsRenamed({"loudness": "loudness_dB", "tempo": "tempo_bpm"})
+    loudness = scaled("loudness_dB")
+    added = {target: share_of_max(source) for source, target in shares.items()}
+    added |= {
+        "track_age_days": age_in_days(F.col("release_date"), as_of),
+        "duration_min": duration_minutes(F.col("duration_ms"), duration_unit),
+        "loudness": loudness,
+        "tempo": scaled("tempo_bpm"),
+        "energy_efficiency": energy_efficiency(F.col("energy"), F.col("danceability"), loudness),
+        "emotional_impact": emotional_impact(F.col("valence"), F.col("energy"), F.col("liveness")),
+    }
+    return with_extremes(renamed, ["loudness_dB", "tempo_bpm", *shares]).withColumns(added).drop("_extremes")
 
 
 def with_popularity_category(df: DataFrame, platform: str) -> DataFrame:

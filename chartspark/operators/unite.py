@@ -5,17 +5,14 @@ from pyspark.sql import DataFrame, functions as F
 
 def align(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give both frames all columns, in order of first appearance; a missing one is NULL of the other's type."""
+    types = {f.name: f.dataType for f in [*second.schema, *first.schema]}
     columns = list(dict.fromkeys(first.columns + second.columns))
 
-    def fill(df: DataFrame, other: DataFrame) -> DataFrame:
-        return df.select(
-            *[
-                F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c)
-                for c in columns
-            ]
-        )
+    def fill(df: DataFrame) -> DataFrame:
+        own = set(df.columns)
+        return df.select(*[F.col(f"`{c}`") if c in own else F.lit(None).cast(types[c]).alias(c) for c in columns])
 
-    return fill(first, second), fill(second, first)
+    return fill(first), fill(second)
 
 
 def aligned_union(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from chartspark.functions.features import (
     months_between,
     with_audio_features,
     with_popularity_category,
-    with_share_of_max,
 )
 from chartspark.operators.rank import average_release_gap, first_row, sorted_rows
 from chartspark.operators.relate import enrich, lookup, one_per_key, unseen_keys
@@ -60,10 +59,10 @@ def formatted_chart_b(enriched: DataFrame, as_of: Column | None = None, duration
         ["explicit"],
         "release_date",
     )
+    shares = {"lastfm_listeners": "lastfm_popularity"}
     return (
-        typed.transform(with_share_of_max, "lastfm_listeners", "lastfm_popularity")
+        typed.transform(with_audio_features, as_of, duration_unit, shares)
         .transform(with_popularity_category, "lastfm")
-        .transform(with_audio_features, as_of, duration_unit)
         .drop("duration_ms", "spotify_popularity")
     )
 
@@ -125,8 +124,8 @@ def with_country_code(chart: DataFrame, countries: DataFrame) -> DataFrame:
 
 def charts_by_source(chart_a: DataFrame, chart_b: DataFrame) -> DataFrame:
     """Both charts with all columns, B's first; ``source`` is 0 for A and 1 for B."""
-    b, a = align(chart_b, chart_a)
-    return a.withColumn("source", F.lit(0)).unionByName(b.withColumn("source", F.lit(1)))
+    b, a = align(chart_b.withColumn("source", F.lit(1)), chart_a.withColumn("source", F.lit(0)))
+    return a.union(b)
 
 
 def unioned_top_charts(chart_a: DataFrame, chart_b: DataFrame, countries: DataFrame) -> DataFrame:
@@ -295,10 +294,11 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
 def recent_songs(
     chart: DataFrame, days: int = VIRAL_DAYS, inclusive: bool = True, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Songs up to ``days`` old, the most popular first."""
+    """Songs up to ``days`` old, the most popular first, then by country and rank as far as these are asked for."""
     age = F.col("track_age_days")
-    recent = chart.filter(age <= days if inclusive else age < days)
-    return sorted_rows(recent.select(*columns or chart.columns), F.desc("spotify_popularity"))
+    columns = columns or chart.columns
+    recent = chart.filter(age <= days if inclusive else age < days).select(*columns)
+    return sorted_rows(recent, F.desc("spotify_popularity"), *[c for c in ("country", "rank") if c in columns])
 
 
 def new_tracks_performance(chart: DataFrame, days: int = 30) -> DataFrame:
