@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from chartspark.operators import relate
 from chartspark.plans import datasets
 
 
@@ -69,3 +70,46 @@ def test_genre_trends_equal_the_join_of_all_rows(spark, frames):
     artists = spark.createDataFrame([("hot", "Pop"), ("a1", "Rock"), ("a2", "Pop")], "artist string, genre string")
     expected = songs.join(artists, "artist", "left").groupBy("genre").agg(F.avg("spotify_popularity"))
     same(datasets.genre_trends(songs, artists), expected)
+
+
+@pytest.fixture
+def split_early(spark):
+    """Settings under which adaptive execution finds small data skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot", ["'hot'", "NULL"])
+@pytest.mark.parametrize("join", ["lookup", "enrich", "unseen_rows"])
+def test_a_hot_left_key_is_split(spark, split_early, join, hot):
+    rows = spark.range(0, 60000, numPartitions=16).selectExpr(
+        f"CASE WHEN id % 3 = 0 THEN {hot} ELSE concat('k', id % 997) END AS artist", "md5(cast(id AS string)) AS text")
+    known = spark.range(500).selectExpr("concat('k', id) AS artist", "id AS n").union(
+        spark.range(1).selectExpr(f"{hot} AS artist", "-1 AS n"))
+    if join == "unseen_rows":
+        known = known.filter("n >= 0")
+    joined = {
+        "lookup": lambda: relate.lookup(rows, known, "artist"),
+        "enrich": lambda: relate.enrich(rows, known, ["artist"]),
+        "unseen_rows": lambda: relate.unseen_rows(rows, known, ["artist"]),
+    }[join]()
+    found = joined.collect()
+    if join == "unseen_rows":
+        assert len(found) == 60000 - sum(1 for i in range(60000) if i % 3 and i % 997 < 500)
+    else:
+        assert len(found) == 60000
+        # Plain equality does not match a missing key, but its rows have to be split all the same.
+        assert sum(r.n == -1 for r in found) == (0 if join == "lookup" and hot == "NULL" else 20000)
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
