@@ -1,6 +1,5 @@
 """Reading and writing tables, and the shared folder for intermediate results."""
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -8,18 +7,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by ``spark.checkpoint.dir``.
+    """The folder for intermediate results, which all executors reach.
 
-    Where the session names none, a local session gets a temporary folder; a cluster has to name one.
+    It is the one named by ``spark.checkpoint.dir`` or set on the context; where neither is, a folder in the warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-    folder = tempfile.mkdtemp(prefix="chartspark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -27,10 +20,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/chartspark/{name}-{uuid.uuid4().hex}"
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver delete the path when its JVM ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def drop_now(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them from there: the plan before it is not run again."""
+    """Write the rows to the shared folder and read them from there: the plan before it is not run again.
+
+    The files outlive the call, since the frame returned is lazy; the driver deletes them when it ends.
+    """
     path = fresh_path(df.sparkSession, "table")
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
