@@ -1,5 +1,7 @@
 """Exact deduplication by block naming: equal texts get one integer, found by sorting fixed-size blocks."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartspark.llm.common import SPACE, numbered, whole
@@ -7,11 +9,15 @@ from chartspark.sources.storage import materialise
 
 #: Bytes of a block. One row of a shuffle holds one block, however long a text is.
 BLOCK_BYTES = 4096
-#: Parts into which the rows of one content are dealt before they are named.
-SALTS = 4096
 
 
-def name_contents(rows: DataFrame, content: list[str], salts: int = SALTS) -> DataFrame:
+def salts_for(rows: int) -> int:
+    """Parts into which the rows of one content are dealt: the square root of their number, so that neither a part nor
+    the number of parts is large."""
+    return max(16, math.isqrt(rows))
+
+
+def name_contents(rows: DataFrame, content: list[str], salts: int) -> DataFrame:
     """Replace the columns ``content`` by ``name``: an integer that rows share exactly if their contents are equal.
 
     ``rows`` has an integer ``occ`` of its own in every row; the smallest one among equal contents is their name. The
@@ -56,7 +62,7 @@ def document_names(docs: DataFrame, data: str, carried: list[str], block_bytes:
         "block",
     )
     done, level = None, 0
-    named = name_contents(occurrences, ["block"])
+    named = name_contents(occurrences, ["block"], salts_for(docs.count()))
     while True:
         names = F.transform(F.sort_array(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"])
         facts = F.first("facts", ignorenulls=True)  # of the one block that has them
@@ -66,7 +72,8 @@ def document_names(docs: DataFrame, data: str, carried: list[str], block_bytes:
         )
         done = finished if done is None else done.unionByName(finished)
         open_ = arrays.filter(F.size("names") > 1)
-        if open_.isEmpty():
+        left = open_.count()
+        if not left:
             return done
         half = ((F.size("names") - 1) / 2).cast("int")
         pairs = F.transform(
@@ -81,7 +88,7 @@ def document_names(docs: DataFrame, data: str, carried: list[str], block_bytes:
             "pair.a",
             "pair.b",
         )
-        named, level = name_contents(occurrences, ["a", "b"]), level + 1
+        named, level = name_contents(occurrences, ["a", "b"], salts_for(left)), level + 1
 
 
 def exact_dedup(
