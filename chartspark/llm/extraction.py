@@ -26,12 +26,17 @@ DROPPED = {
 #: Words in class, id or role that mark what is not main text.
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "sponsor", "sponsored", "promo",
-    "promotion", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "header",
-    "masthead", "footer", "foot", "comment", "comments", "disqus", "replies", "respond", "notice", "notices", "cookie",
-    "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup",
-    "login", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "toolbar", "pagination",
-    "pager", "copyright", "disclaimer", "search", "complementary", "contentinfo", "alert",
+    "promotion", "nav", "navbar", "navigation", "menu", "toc", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer",
+    "foot", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "notice", "notices",
+    "notification", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter", "subscribe",
+    "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "widget",
+    "toolbar", "pagination", "pager", "copyright", "disclaimer", "search", "complementary", "contentinfo", "alert",
+    "dialog", "paywall",
 }
+#: Words and an element that mark the head of a page, but may stand in an article around its title.
+HEADS = {"header", "masthead", "banner", "topbar"}
+ARTICLES = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An opening tag that ends an open element, up to the given limits.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -71,20 +76,35 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _marked(name: str, attributes: str) -> bool:
-    if name in DROPPED:
+def _marked(name: str, attributes: str, parent: Node) -> bool:
+    if name in DROPPED or (name == "header" and not _in_article(parent)):
         return True
     if not attributes:
         return False
     if _HIDDEN.search(attributes):
         return True
+    if name in ("html", "body") or name in ARTICLES:
+        return False
     for value in _NAMES.findall(attributes):
-        for part in _PARTS.findall("".join(value)):
-            if part.lower() in MARKS and name not in ("html", "body", "article", "main"):
+        for token in "".join(value).split():
+            parts = [p.lower() for p in _PARTS.findall(token)]
+            found = {*parts, *map("".join, zip(parts, parts[1:]))}
+            if not MARKS.isdisjoint(found) or not (HEADS.isdisjoint(found) or _in_article(parent)):
                 return True
     return False
 
 
+def _in_article(node: Node | None) -> bool:
+    return _article(node) is not None
+
+
+def _article(node: Node | None) -> Node | None:
+    """The innermost article around a node, or the node itself."""
+    while node is not None and node.name not in ARTICLES:
+        node = node.parent
+    return node
+
+
 def parse(page: str) -> Node:
     """The page's tree. Missing ends are supplied, ends without a beginning ignored, raw elements kept as one text."""
     root = node = Node("#page", None)
@@ -108,7 +128,7 @@ def parse(page: str) -> Node:
             node = _closed(node, name)
             continue
         node = _before(node, name)
-        marked = _marked(name, match[3])
+        marked = _marked(name, match[3], node)
         child = Node(name, node, marked)
         node.children.append(child)
         if name in VOID or (match[3].endswith("/") and name not in INLINE and name not in ENDS_P and name not in RAW):
@@ -207,9 +227,9 @@ def main_text(page: str) -> str:
 
     Every element's characters per tag are lowered by the links in it; the sum over an element's children says how much
     dense text stands together there, and the element with the largest sum is the main one. The smallest density on the
-    path from it to the body is the threshold: elsewhere, the parts of the page that reach it and have the largest sums
-    below them belong to the main text too. Elements that are marked as something else, by name or class, and blocks
-    of links are left out throughout.
+    path from it to the body is the threshold: other blocks next to that path which reach it, and headings before the main
+    element, belong to the main text too. If the main element is part of an article element, that is the main text.
+    Elements that are marked as something else, by name or class, and blocks of links are left out throughout.
     """
     root = parse(page)
     body = next((n for n in _nodes(root) if n.name == "body"), root)
@@ -224,12 +244,16 @@ def main_text(page: str) -> str:
     best = max(blocks, key=lambda n: n.total)
     if not best.chars:
         return ""
-    threshold, at = best.density, best
-    while at is not body:
-        at = at.parent
-        threshold = min(threshold, at.density)
-    chosen = {id(best)}
-    _choose(body, threshold, best, chosen)
+    article = _article(best)
+    if article is not None:
+        chosen = {id(article)}
+    else:
+        threshold, at = best.density, best
+        while at is not body:
+            at = at.parent
+            threshold = min(threshold, at.density)
+        chosen = {id(best)}
+        _choose(body, threshold, best, chosen)
     out: list[str] = []
     _write(body, False, chosen, out)
     joined = (_SPACES.sub(" ", part).strip() for part in "".join(out).split("\0"))
@@ -253,11 +277,16 @@ def _choose(body: Node, threshold: float, best: Node, chosen: set[int]) -> None:
     stack = [body]
     while stack:
         node = stack.pop()
+        before = True
         for child in node.children:
-            if isinstance(child, str) or child.marked or id(child) == id(best):
+            if isinstance(child, str) or child.marked:
                 continue
             if id(child) in path:
-                stack.append(child)
+                before = False
+                if child is not best:
+                    stack.append(child)
+            elif child.name in HEADINGS and before and not child.link_chars:
+                chosen.add(id(child))
             elif child.name not in INLINE and child.density >= threshold > 0 and not _menu(child):
                 chosen.add(id(child))
 
