@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from chartspark.fixed_values import ELBOW_RANGE, ML_CLUSTERS, ML_FEATURES, ML_SEED
 from chartspark.functions.features import with_minmax
 from chartspark.operators.quality import complete_rows
-from chartspark.sources.storage import materialise
 
 VECTOR = "_features"
 
@@ -24,19 +23,21 @@ def scaled_features(df: DataFrame, features: Sequence[str] = ML_FEATURES, suffix
 
 
 def scaled_vectors(df: DataFrame, features: Sequence[str] = ML_FEATURES) -> DataFrame:
-    """The complete rows with their scaled features as one vector.
-
-    The rows are stored first, since the scaling and every fit read them again.
-    """
+    """The complete rows with their scaled features as one vector. ``df`` should be stored: every fit reads it again."""
     scaled = [f"_scaled_{i}" for i in range(len(features))]
-    rows = with_minmax(materialise(complete_rows(df, features)), dict(zip(features, scaled)), constant=0.0)
+    rows = with_minmax(complete_rows(df, features), dict(zip(features, scaled)), constant=0.0)
     return VectorAssembler(inputCols=scaled, outputCol=VECTOR).transform(rows).drop(*scaled)
 
 
+def clusters(vectors: DataFrame, k: int = ML_CLUSTERS, seed: int = ML_SEED, out: str = "Cluster", vector: str = VECTOR):
+    """The fitted model."""
+    return KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(vectors)
+
+
 def with_clusters(
     vectors: DataFrame, k: int = ML_CLUSTERS, seed: int = ML_SEED, out: str = "Cluster", vector: str = VECTOR
 ) -> DataFrame:
-    return KMeans(k=k, seed=seed, featuresCol=vector, predictionCol=out).fit(vectors).transform(vectors)
+    return clusters(vectors, k, seed, out, vector).transform(vectors)
 
 
 def with_components(
@@ -75,7 +76,7 @@ def elbow_curve(
     """Inertia for each number of clusters; the fits share one cached input and run ``parallelism`` at a time."""
     low, high = ELBOW_RANGE
     ks = range(low, high + 1) if ks is None else ks
-    cached = materialise(vectors.select(vector)).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = vectors.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
 
     def inertia(k: int) -> tuple[int, float]:
         return k, KMeans(k=k, seed=seed, featuresCol=vector).fit(cached).summary.trainingCost

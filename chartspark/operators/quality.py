@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chartspark.fixed_values import DEFAULT_GENRE, PUBLISH_FLOOR
 from chartspark.operators.unite import align
@@ -40,12 +40,20 @@ def array_values(df: DataFrame, column: str, out: str = "value") -> DataFrame:
     return df.select(F.explode(column).alias(out)).distinct()
 
 
+def is_not_found(id_column: str) -> Column:
+    return F.col(id_column).isNull()
+
+
+def is_unidentified(label: str = "genre", default: str = DEFAULT_GENRE) -> Column:
+    return F.col(label) == default
+
+
 def not_found(df: DataFrame, id_column: str) -> DataFrame:
-    return df.filter(F.col(id_column).isNull())
+    return df.filter(is_not_found(id_column))
 
 
 def unidentified(df: DataFrame, label: str = "genre", default: str = DEFAULT_GENRE) -> DataFrame:
-    return df.filter(F.col(label) == default)
+    return df.filter(is_unidentified(label, default))
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -5,15 +5,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartspark.fixed_values import LOOKUP_BATCH
+from chartspark.sources.storage import materialise
+
+#: Up to this n Spark cuts every input partition to n rows a group before the shuffle.
+CUT_BEFORE_SHUFFLE = 1000
+SALTS = 256
 
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group, numbered.
 
-    Spark cuts every input partition to n rows a group before the shuffle (for n up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold``), so a hot group costs no more than any other.
+    Spark cuts every input partition to n rows a group before the shuffle, for n up to the default of
+    ``spark.sql.optimizer.windowGroupLimitThreshold``. For more a group is first cut in parts, dealt by a hash of the
+    rows, so that a hot group is not one task.
     """
     window = Window.partitionBy(*group).orderBy(*order)
+    if n > CUT_BEFORE_SHUFFLE:
+        parts = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+            .withColumn("_place", F.row_number().over(parts))
+            .filter(F.col("_place") <= n)
+            .drop("_part", "_place")
+        )
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
@@ -41,12 +55,35 @@ def head_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame
 
 
 def sorted_rows(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Sort, by the whole row where ``order`` ties.
+    """Sort, by the whole row where ``order`` ties. Copies of a row are counted before the sort and made again after it."""
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).orderBy(*order, F.struct(*df.columns))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_copy")
+    return counted.select(*df.columns, copies).drop("_copy")
+
 
-    The last key is the place of a row in the input. It only tells copies of a row apart, which lets Spark split
-    them over tasks, however many there are.
+def numbered_rows(df: DataFrame, order: Sequence[Column | str], out: str = "number") -> DataFrame:
+    """Number all rows from 1 in an order that tells them apart, without a task that sees them all.
+
+    The rows are sorted over the cluster and stored with their place in the sorted part; the sizes of the parts before it
+    give the rest. Only these sizes, one for each part, meet in one task.
     """
-    return df.orderBy(*order, F.struct(*df.columns), F.monotonically_increasing_id())
+    placed = df.orderBy(*order).withColumns(
+        {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    stored = materialise(placed)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("_part").agg(F.count("*").alias("_size"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return (
+        stored.join(offsets, "_part").withColumn(out, F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before")
+    )
+
+
+def all_ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """All rows of each group, numbered from 1 in an order that tells them apart; a hot group is no task of its own."""
+    numbered = numbered_rows(df, [*group, *order], "_number")
+    first = numbered.groupBy(*group).agg(F.min("_number").alias("_first"))
+    return numbered.join(first, list(group)).withColumn(rank, F.col("_number") - F.col("_first") + 1).drop("_number", "_first")
 
 
 def next_dates(df: DataFrame, creator: str, date: str) -> DataFrame:
@@ -97,21 +134,11 @@ def with_release_gap(
     )
 
 
-def id_batches(df: DataFrame, id_column: str, size: int = LOOKUP_BATCH, digits: int = 3) -> DataFrame:
-    """The distinct ids in batches of at most ``size``, joined by commas, for bulk lookups.
-
-    Ids are spread over 16 ** ``digits`` buckets by the head of their MD5 and numbered within a bucket, so no
-    task numbers more than its even share. Each bucket may end in one short batch.
-    """
-    numbered = (
-        df.select(F.col(id_column).cast("string").alias("id"))
-        .filter(F.col("id").isNotNull())
-        .distinct()
-        .withColumn("bucket", F.substring(F.md5("id"), 1, digits))
-        .withColumn("row", F.row_number().over(Window.partitionBy("bucket").orderBy("id")))
-        .withColumn("batch", F.floor((F.col("row") - 1) / size).cast("int"))
-    )
-    return numbered.groupBy("bucket", "batch").agg(
+def id_batches(df: DataFrame, id_column: str, size: int = LOOKUP_BATCH) -> DataFrame:
+    """The distinct ids in order, in batches of ``size`` joined by commas, for bulk lookups; only the last is shorter."""
+    ids = df.select(F.col(id_column).cast("string").alias("id")).filter(F.col("id").isNotNull()).distinct()
+    batch = F.floor((F.col("number") - 1) / size).alias("batch")
+    return numbered_rows(ids, ["id"]).groupBy(batch).agg(
         F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids"), F.count("*").alias("n_ids")
     )
 

@@ -37,13 +37,22 @@ def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest, so that the choice is the same in every run."""
-    values = [c for c in df.columns if c not in keys]
+LANDED = "landed_at"
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], landed: str = LANDED) -> DataFrame:
+    """One row per key: the one with the fewest NULLs, of these the one that landed last, of these the smallest.
+
+    So an answer beats a failed one, and a later answer an earlier one. The time of landing is a timestamp column that
+    the frame may have; it is not kept.
+    """
+    values = [c for c in df.columns if c not in keys and c != landed]
+    missing = reduce(lambda a, b: a + b, [F.col(f"`{c}`").isNull().cast("int") for c in values], F.lit(0))
+    age = F.coalesce(-F.unix_micros(landed), F.lit(2**63 - 1)) if landed in df.columns else F.lit(0)
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*values)).alias("_row"))
-        .select(*keys, *[F.col(f"_row.`{c}`") for c in values])
+        .agg(F.min(F.struct(missing.alias("_missing"), age.alias("_age"), F.struct(*values).alias("_row"))).alias("_best"))
+        .select(*keys, *[F.col(f"_best._row.`{c}`") for c in values])
     )
 
 

@@ -9,8 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chartspark.fixed_values import DEFAULT_GENRE, VIRAL_DAYS
+from chartspark.fixed_values import DEFAULT_GENRE, GENRE_RULES, UNWANTED_KEYWORDS, VIRAL_DAYS
 from chartspark.functions.casts import cast_columns, to_partial_date
+from chartspark.functions.classify import Rules
 from chartspark.functions.features import (
     months_between,
     with_audio_features,
@@ -19,39 +20,24 @@ from chartspark.functions.features import (
 from chartspark.operators.rank import average_release_gap, first_row, sorted_rows
 from chartspark.operators.relate import enrich, lookup, one_per_key, unseen_keys
 from chartspark.operators.unite import align, aligned_union
+from chartspark.schemas import CARRIED, FLAG_CARRIED, TOP_TRACK
 from chartspark.sources import landing
 
-CARRIED = [
-    "track_name", "artist", "lastfm_listeners", "album", "explicit", "release_date", "energy", "danceability",
-    "key", "loudness_dB", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence",
-    "tempo_bpm", "time_signature", "lastfm_popularity", "lastfm_popularity_category", "track_age_days",
-    "duration_min", "loudness", "tempo", "energy_efficiency", "emotional_impact", "country_code",
-    "spotify_popularity", "spotify_popularity_category",
-]
-TOP_TRACK = [
-    "continent", "track_name", "artist", "danceability", "energy", "loudness_dB", "speechiness", "acousticness",
-    "instrumentalness", "liveness", "valence", "tempo_bpm", "duration_min", "spotify_popularity",
-]
-FLAG_CARRIED = [
-    "country", "rank", "track_id", "track_name", "artist", "album", "release_date", "danceability", "energy",
-    "key", "loudness_dB", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence",
-    "tempo_bpm", "duration_min",
-]
-
-
 # --- Formatted charts -------------------------------------------------------------------------------------
 
 
-def formatted_chart_a(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
+def formatted_chart_a(raw: DataFrame, as_of: Column | None = None, artist_ids: bool = False) -> DataFrame:
+    """``raw`` should be stored: its extremes are read from it first. ``artist_ids`` keeps the artists' ids."""
     typed = cast_columns(raw, ["duration_ms"], ["rank", "mode", "time_signature", "key"], ["explicit"], "release_date")
     return (
         typed.transform(with_popularity_category, "spotify")
         .transform(with_audio_features, as_of)
-        .drop("duration_ms", "artist_id")
+        .drop("duration_ms", *([] if artist_ids else ["artist_id"]))
     )
 
 
 def formatted_chart_b(enriched: DataFrame, as_of: Column | None = None, duration_unit: str = "ms") -> DataFrame:
+    """``enriched`` should be stored: its extremes are read from it first."""
     typed = cast_columns(
         enriched,
         ["duration_ms", "lastfm_listeners"],
@@ -67,9 +53,10 @@ def formatted_chart_b(enriched: DataFrame, as_of: Column | None = None, duration
     )
 
 
-def missing_tracks(raw_b: DataFrame, raw_a: DataFrame) -> DataFrame:
-    """The tracks to search for: on B's charts and not on A's."""
-    return landing.search_queries(unseen_keys(raw_b, raw_a, ["track_name", "artist"]))
+def missing_tracks(raw_b: DataFrame, raw_a: DataFrame, limit: int | None = None) -> DataFrame:
+    """The tracks to search for: on B's charts and not on A's, all or the first ``limit`` by name."""
+    missing = unseen_keys(raw_b, raw_a, ["track_name", "artist"])
+    return landing.search_queries(missing if limit is None else missing.orderBy("track_name", "artist").limit(limit))
 
 
 def enriched_chart_b(
@@ -78,13 +65,15 @@ def enriched_chart_b(
     search_payloads: DataFrame,
     feature_payloads: DataFrame,
     keys: Sequence[str] = ("track_name", "artist"),
+    limit: int | None = None,
+    unwanted: Sequence[str] = UNWANTED_KEYWORDS,
 ) -> DataFrame:
-    """B's chart with the id, album and features of the tracks that A's charts lack.
+    """B's chart with the id, album and features of the tracks that A's charts lack, of the first ``limit`` if given.
 
     With ``keys=["track_name"]`` a title by several artists takes the hits of all of them.
     """
-    wanted = unseen_keys(raw_b, raw_a, ["track_name", "artist"])
-    hits = one_per_key(landing.found_tracks(search_payloads), ["track_name", "artist"])
+    wanted = missing_tracks(raw_b, raw_a, limit).drop("search_name")
+    hits = one_per_key(landing.found_tracks(search_payloads, unwanted), ["track_name", "artist"])
     found = enrich(wanted, hits, ["track_name", "artist"]).filter(F.col("track_id").isNotNull())
     tracks = landing.with_features(found, landing.audio_features(feature_payloads))
     added = [c for c in tracks.columns if c not in ("track_name", "artist")]
@@ -99,20 +88,19 @@ def chart_artists(chart_a: DataFrame, chart_b: DataFrame, limit: int | None = No
     return artists if limit is None else artists.orderBy("artist").limit(limit)
 
 
-def new_artists(wanted: DataFrame, known: DataFrame, search_payloads: DataFrame) -> DataFrame:
+def new_artists(
+    wanted: DataFrame, known: DataFrame, search_payloads: DataFrame, rules: Rules = GENRE_RULES
+) -> DataFrame:
     """The artists not known yet, with id and genre from their searches; without a search, unidentified."""
     unseen = unseen_keys(wanted, known, ["artist"])
-    found = one_per_key(
-        landing.found_artists(search_payloads).select("artist", "artist_id", "genre"), ["artist"]
-    )
+    found = one_per_key(landing.found_artists(search_payloads, rules).drop("genres"), ["artist"])
     return enrich(unseen, found, ["artist"]).fillna(DEFAULT_GENRE, subset=["genre"])
 
 
 def new_albums(artists: DataFrame, album_payloads: DataFrame, detail_payloads: DataFrame) -> DataFrame:
-    """The albums of the given artists with their genre."""
+    """All albums of the payloads with their artist's genre; NULL where the artist is not among the given ones."""
     wanted = one_per_key(artists.select("artist", "genre"), ["artist"])
-    rows = landing.with_album_popularity(landing.albums(album_payloads), detail_payloads)
-    return rows.join(wanted, "artist", "inner")
+    return enrich(landing.with_album_popularity(landing.albums(album_payloads), detail_payloads), wanted, ["artist"])
 
 
 # --- Combined datasets ------------------------------------------------------------------------------------
@@ -238,19 +226,30 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     aggregated alone and the pairs are never made.
     """
     albums = albums.filter(F.col("artist").isNotNull()).withColumn("release_date", to_partial_date(F.col("release_date")))
-    # The genre goes with the artist. Taken apart, it leaves the measures to a hash aggregate.
-    genres = albums.select("artist", "genre").distinct().groupBy("artist").agg(F.min("genre").alias("genre"))
-    album_side = albums.groupBy("artist").agg(
-        F.count_distinct("album_name").alias("total_albums"),
+    # One pass: rows merge to one for each name first, in a hash aggregate of numbers only.
+    measures = ("album_popularity", "total_tracks", "available_markets", "n_artists", "n_words_in_name")
+    per_name = albums.groupBy("artist", "album_name", "genre").agg(
         F.count("*").alias("n_albums"),
-        F.sum("album_popularity").alias("album_popularity"),
-        F.avg("album_popularity").alias("avg_album_popularity"),
         F.max("album_popularity").alias("max_album_popularity"),
         F.min("album_popularity").alias("min_album_popularity"),
-        F.avg("total_tracks").alias("avg_total_tracks"),
-        F.avg("available_markets").alias("avg_available_markets"),
-        F.avg("n_artists").alias("avg_n_artists"),
-        F.avg("n_words_in_name").alias("avg_words_in_album_name"),
+        *[f(c).alias(f"{name}_{c}") for c in measures for name, f in (("sum", F.sum), ("count", F.count))],
+    )
+
+    def average(c: str) -> Column:
+        return F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}"))
+
+    album_side = per_name.groupBy("artist").agg(
+        F.min("genre").alias("genre"),
+        F.count_distinct("album_name").alias("total_albums"),
+        F.sum("n_albums").alias("n_albums"),
+        F.sum("sum_album_popularity").alias("album_popularity"),
+        F.max("max_album_popularity").alias("max_album_popularity"),
+        F.min("min_album_popularity").alias("min_album_popularity"),
+        average("album_popularity").alias("avg_album_popularity"),
+        average("total_tracks").alias("avg_total_tracks"),
+        average("available_markets").alias("avg_available_markets"),
+        average("n_artists").alias("avg_n_artists"),
+        average("n_words_in_name").alias("avg_words_in_album_name"),
     )
     song_side = (
         songs.filter(F.col("artist").isNotNull())
@@ -267,7 +266,6 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     gaps = average_release_gap(albums, "artist", "release_date", "avg_months_between_releases")
     return (
         album_side.join(song_side, "artist")
-        .join(genres, "artist")
         .join(gaps, "artist", "left")
         .select(
             "artist",

@@ -2,14 +2,15 @@
 
 An order line is a chart entry: its part is the track, the part's brand the artist, the line number the rank.
 Platform A files it under the supplier's nation, platform B under the customer's. Brands get a genre from the
-words of their first part names.
+words of their part names. A raw chart is stored, as the daily run does it, before its extremes are taken.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark.functions.classify import Rules, keyword_genre
-from chartspark.operators.rank import top_n
+from chartspark.operators.rank import all_ranked, top_n
 from chartspark.plans import datasets
+from chartspark.sources.storage import materialise
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -167,12 +168,12 @@ def last_shipdate(spark: SparkSession, sf: str) -> Column:
     return table(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).scalar()
 
 
-def formatted_a(spark: SparkSession, sf: str) -> DataFrame:
-    return datasets.formatted_chart_a(raw_a(spark, sf), last_shipdate(spark, sf))
+def formatted_a(spark: SparkSession, sf: str, artist_ids: bool = False) -> DataFrame:
+    return datasets.formatted_chart_a(materialise(raw_a(spark, sf)), last_shipdate(spark, sf), artist_ids)
 
 
 def formatted_b(spark: SparkSession, sf: str) -> DataFrame:
-    return datasets.formatted_chart_b(enriched_b(spark, sf), last_shipdate(spark, sf))
+    return datasets.formatted_chart_b(materialise(enriched_b(spark, sf)), last_shipdate(spark, sf))
 
 
 def _formatted_sql(source: str, platform: str, dropped: str) -> str:
@@ -207,25 +208,32 @@ formatted_b AS ({_formatted_sql("listened_b", "lastfm", "duration_ms, spotify_po
 
 
 def brand_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Per brand the words of its first three part names, in order."""
-    first = top_n(table(spark, sf, "part"), ["p_brand"], [F.col("p_partkey")], 3)
+    """Per brand the different words of all its part names, by the part and place where they come first.
+
+    A brand has as many rows here as it has different words, however many its parts are.
+    """
+    words = table(spark, sf, "part").select(
+        "p_brand", "p_partkey", "p_size", F.posexplode(F.split("p_name", " ")).alias("pos", "word")
+    )
+    first = words.groupBy("p_brand", "word").agg(F.min(F.struct("p_partkey", "pos", "p_size")).alias("first"))
     return (
         first.groupBy("p_brand")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "p_name", "p_size"))).alias("parts"))
+        .agg(F.array_sort(F.collect_list(F.struct("first", "word"))).alias("words"))
         .select(
             F.col("p_brand").alias("artist"),
-            F.flatten(F.transform("parts", lambda p: F.split(p["p_name"], " "))).alias("genres"),
-            F.get("parts", F.lit(0))["p_size"].alias("first_size"),
+            F.transform("words", lambda w: w["word"]).alias("genres"),
+            F.get("words", F.lit(0))["first"]["p_size"].alias("first_size"),
         )
     )
 
 
 BRAND_WORDS_SQL = """brand_words AS (
-    SELECT p_brand AS artist,
-           flatten(list(string_split(p_name, ' ') ORDER BY n)) AS genres,
-           min(CASE WHEN n = 1 THEN p_size END) AS first_size
-    FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part)
-    WHERE n <= 3 GROUP BY p_brand)"""
+    SELECT p_brand AS artist, list(word ORDER BY p_partkey, pos) AS genres,
+           first(p_size ORDER BY p_partkey, pos) AS first_size
+    FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, word ORDER BY p_partkey, pos) AS nth
+          FROM (SELECT p_brand, p_partkey, p_size, unnest(string_split(p_name, ' ')) AS word,
+                       unnest(range(len(string_split(p_name, ' ')))) AS pos FROM part))
+    WHERE nth = 1 GROUP BY p_brand)"""
 
 
 def rules_sql(tags: str, rules: Rules, exact: bool = False) -> str:
@@ -324,15 +332,17 @@ def top_chart(scored: DataFrame, n: int = 50) -> DataFrame:
     return top_n(scored, ["nationkey"], [F.desc("score"), F.asc("partkey")], n)
 
 
+def whole_chart(scored: DataFrame) -> DataFrame:
+    return all_ranked(scored, ["nationkey"], [F.desc("score"), F.asc("partkey")])
+
+
 TOP_CHARTS_SQL = """scored_a AS (
     SELECT s_nationkey AS nationkey, l_partkey AS partkey, CAST(sum(l_quantity) AS BIGINT) AS score
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
 scored_b AS (
     SELECT c_nationkey AS nationkey, l_partkey AS partkey, count(*) AS score
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
-top_a AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nationkey ORDER BY score DESC, partkey) AS rank FROM scored_a)
-    WHERE rank <= 50),
-top_b AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nationkey ORDER BY score DESC, partkey) AS rank FROM scored_b)
-    WHERE rank <= 50)"""
+ranked_a AS (
+    SELECT *, row_number() OVER (PARTITION BY nationkey ORDER BY score DESC, partkey) AS rank FROM scored_a),
+ranked_b AS (
+    SELECT *, row_number() OVER (PARTITION BY nationkey ORDER BY score DESC, partkey) AS rank FROM scored_b)"""

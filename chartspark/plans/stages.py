@@ -5,14 +5,16 @@ platform A before platform B is enriched from it. Stages do not cache: a later s
 needs back from Parquet.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark import schemas
-from chartspark.fixed_values import CHART_SIZE, PUBLISH_FLOOR
-from chartspark.operators import ml
-from chartspark.operators.relate import unseen_rows
+from chartspark.fixed_values import GENRE_RULES, LOOKUP_BATCH, PUBLISH_FLOOR, UNWANTED_KEYWORDS
+from chartspark.functions.classify import Rules
+from chartspark.operators import ml, rank
+from chartspark.operators.relate import unseen_keys, unseen_rows
 from chartspark.operators.unite import align
 from chartspark.plans import datasets
 from chartspark.sources import documents, landing
@@ -71,18 +73,57 @@ class Payloads:
     album_details: DataFrame  # album_id
 
 
-def land_chart_a(lake: Lake, payloads: Payloads) -> None:
-    chart = landing.chart_a(payloads.chart_a, landing.country_table(lake.spark))
+@dataclass
+class Options:
+    """What a run takes in; the defaults take everything."""
+
+    countries: Sequence[str] | None = None  # names
+    track_limit: int | None = None  # entries of a chart
+    enrich_keys: Sequence[str] = ("track_name", "artist")
+    enrich_limit: int | None = None  # tracks searched for
+    unwanted: Sequence[str] = tuple(UNWANTED_KEYWORDS)
+    genre_rules: Rules = tuple(GENRE_RULES)
+    max_artists: int | None = None
+    get_albums: bool = True
+    force_refetch: bool = False
+    n_components: int = 2
+
+
+def _chosen(charts: DataFrame, options: Options) -> DataFrame:
+    return charts if options.countries is None else charts.filter(F.col("country").isin(*options.countries))
+
+
+def land_chart_a(lake: Lake, payloads: Payloads, options: Options = Options()) -> None:
+    countries = landing.country_table(lake.spark)
+    chart = landing.chart_a(_chosen(payloads.chart_a, options), countries, options.track_limit)
     lake.write(landing.with_features(chart, landing.audio_features(payloads.features)), RAW_A)
 
 
-def land_chart_b(lake: Lake, payloads: Payloads, limit: int = CHART_SIZE) -> None:
-    lake.write(landing.chart_b(payloads.chart_b, landing.country_table(lake.spark), limit), RAW_B)
+def land_chart_b(lake: Lake, payloads: Payloads, options: Options = Options()) -> None:
+    countries = landing.country_table(lake.spark)
+    lake.write(landing.chart_b(_chosen(payloads.chart_b, options), countries, options.track_limit), RAW_B)
+
+
+def tracks_to_search(lake: Lake, options: Options = Options()) -> DataFrame:
+    """What to fetch before B is enriched: the tracks that A's charts lack, and the name to search for."""
+    return datasets.missing_tracks(lake.read(RAW_B), lake.read(RAW_A), options.enrich_limit)
+
+
+def feature_batches(tracks: DataFrame, size: int = LOOKUP_BATCH) -> DataFrame:
+    """What to fetch for tracks: their ids in batches."""
+    return rank.id_batches(tracks, "track_id", size)
+
+
+def artists_to_search(lake: Lake, options: Options = Options()) -> DataFrame:
+    """What to fetch before the artists are added: those on the charts that are not known yet."""
+    wanted = datasets.chart_artists(lake.read(CHART_A), lake.read(CHART_B), options.max_artists)
+    return wanted if options.force_refetch else unseen_keys(wanted, lake.read_if_exists(ARTISTS), ["artist"])
 
 
-def enrich_chart_b(lake: Lake, payloads: Payloads) -> None:
+def enrich_chart_b(lake: Lake, payloads: Payloads, options: Options = Options()) -> None:
     enriched = datasets.enriched_chart_b(
-        lake.read(RAW_B), lake.read(RAW_A), payloads.track_searches, payloads.features
+        lake.read(RAW_B), lake.read(RAW_A), payloads.track_searches, payloads.features,
+        options.enrich_keys, options.enrich_limit, options.unwanted,
     )
     lake.write(enriched, ENRICHED_B)
 
@@ -92,25 +133,25 @@ def format_charts(lake: Lake, as_of: Column | None = None) -> None:
     lake.write(datasets.formatted_chart_b(lake.read(ENRICHED_B), as_of), CHART_B)
 
 
-def augment(
-    lake: Lake, payloads: Payloads, max_artists: int | None = None, get_albums: bool = True, force_refetch: bool = False
-) -> tuple[int, int]:
+def augment(lake: Lake, payloads: Payloads, options: Options = Options()) -> tuple[int, int]:
     """Add the artists (and their albums) that are not known yet; returns the numbers of new rows.
 
-    New rows are appended. The albums go first, since it is the artists' table that tells which are done: a run
-    that broke off in between leaves albums whose artists are still to come, and these are not added twice.
+    With nothing new it stops before it looks at any payload. New rows are appended. The albums go first, since it is the
+    artists' table that tells which are done: a run that broke off in between leaves albums whose artists are still to
+    come, and these are not added twice.
     """
-    wanted = datasets.chart_artists(lake.read(CHART_A), lake.read(CHART_B), max_artists)
-    if force_refetch:
-        known = lake.spark.createDataFrame([], schemas.ARTISTS)
-    else:
-        known = lake.read_if_exists(ARTISTS)
-    added = datasets.new_artists(wanted, known, payloads.artist_searches)
-    mode = "overwrite" if force_refetch else "append"
+    wanted = artists_to_search(lake, options)
+    if wanted.isEmpty():
+        return 0, 0
+    known = lake.spark.createDataFrame([], schemas.ARTISTS)  # the wanted ones are new already
+    added = datasets.new_artists(wanted, known, payloads.artist_searches, options.genre_rules)
+    mode = "overwrite" if options.force_refetch else "append"
     n_albums = 0
-    if get_albums:
-        albums = datasets.new_albums(added, payloads.albums, payloads.album_details)
-        if not force_refetch:
+    if options.get_albums:
+        same = F.col("l.artist").eqNullSafe(F.col("r.artist"))
+        fetched = payloads.albums.alias("l").join(added.select("artist").alias("r"), same, "left_semi")
+        albums = datasets.new_albums(added, fetched, payloads.album_details)
+        if not options.force_refetch:
             albums = unseen_rows(albums, lake.read_if_exists(ALBUMS), ["artist"])
         n_albums, _ = lake.write(albums, ALBUMS, mode)
     n_artists, _ = lake.write(added, ARTISTS, mode)
@@ -142,12 +183,19 @@ def publish(lake: Lake, target: str, floor: int = PUBLISH_FLOOR) -> None:
     documents.publish({name: lake.read(path) for name, path in PUBLISHED.items()}, target, "all_top_charts", floor)
 
 
-def run(lake: Lake, payloads: Payloads, target: str, as_of: Column | None = None, floor: int = PUBLISH_FLOOR) -> None:
-    land_chart_a(lake, payloads)
-    land_chart_b(lake, payloads)
-    enrich_chart_b(lake, payloads)
+def run(
+    lake: Lake,
+    payloads: Payloads,
+    target: str,
+    as_of: Column | None = None,
+    floor: int = PUBLISH_FLOOR,
+    options: Options = Options(),
+) -> None:
+    land_chart_a(lake, payloads, options)
+    land_chart_b(lake, payloads, options)
+    enrich_chart_b(lake, payloads, options)
     format_charts(lake, as_of)
-    augment(lake, payloads)
+    augment(lake, payloads, options)
     combine(lake)
-    enhance_songs(lake)
+    enhance_songs(lake, options.n_components)
     publish(lake, target, floor)

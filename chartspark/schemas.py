@@ -68,3 +68,21 @@ ARTISTS_ALBUMS = (
     "n_words_in_name bigint, available_markets bigint, is_album_name_capitalized boolean, "
     "album_popularity bigint, genre string"
 )
+
+# Output columns of the combined datasets.
+CARRIED = [
+    "track_name", "artist", "lastfm_listeners", "album", "explicit", "release_date", "energy", "danceability",
+    "key", "loudness_dB", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence",
+    "tempo_bpm", "time_signature", "lastfm_popularity", "lastfm_popularity_category", "track_age_days",
+    "duration_min", "loudness", "tempo", "energy_efficiency", "emotional_impact", "country_code",
+    "spotify_popularity", "spotify_popularity_category",
+]
+TOP_TRACK = [
+    "continent", "track_name", "artist", "danceability", "energy", "loudness_dB", "speechiness", "acousticness",
+    "instrumentalness", "liveness", "valence", "tempo_bpm", "duration_min", "spotify_popularity",
+]
+FLAG_CARRIED = [
+    "country", "rank", "track_id", "track_name", "artist", "artist_id", "album", "release_date", "danceability",
+    "energy", "key", "loudness_dB", "mode", "speechiness", "acousticness", "instrumentalness", "liveness", "valence",
+    "tempo_bpm", "duration_min",
+]

@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 
 from chartspark.sources.storage import drop_at_exit, fresh_path
 
-# Shuffle partitions are left to the caller: about two to three per core for local runs; on a cluster set
-# spark.sql.shuffle.partitions to the largest shuffle over 128 MB, adaptive execution merges what is too small.
+# Adaptive execution only merges shuffle partitions, so a session starts with many unless the caller sets their number:
+# about two to three per core for local runs, on a cluster the largest shuffle over 128 MB.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,10 +20,15 @@ SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "4096"
+
+
 def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master is not None:
         builder = builder.master(master)
+    if "spark.sql.shuffle.partitions" not in settings:
+        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": INITIAL_PARTITIONS, **settings}
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

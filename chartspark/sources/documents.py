@@ -1,12 +1,16 @@
 """Publishing tables as JSON documents."""
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark.fixed_values import PUBLISH_FLOOR
 from chartspark.operators.quality import require_complete
+from chartspark.sources.storage import drop_now, read_text, write_text
 
+#: The file that names the run to read.
+CURRENT = "_current"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -31,7 +35,21 @@ def write_documents(df: DataFrame, path: str) -> None:
 
 
 def publish(tables: Mapping[str, DataFrame], root: str, gate: str, floor: int = PUBLISH_FLOOR) -> None:
-    """Replace all published tables, unless the one named ``gate`` is too small to be complete."""
+    """Replace all published tables, unless the one named ``gate`` is too small to be complete.
+
+    Every run writes to a folder of its own. When all tables are there, one small file is replaced that names the run to
+    read, and the run before it is deleted. Readers see all of the old tables or all of the new ones.
+    """
     require_complete(tables[gate], floor)
+    spark = tables[gate].sparkSession
+    run, before = uuid.uuid4().hex, read_text(spark, f"{root}/{CURRENT}")
     for name, df in tables.items():
-        write_documents(df, f"{root}/{name}")
+        write_documents(df, f"{root}/{run}/{name}")
+    write_text(spark, f"{root}/{CURRENT}", run)
+    if before is not None:
+        drop_now(spark, f"{root}/{before}")
+
+
+def published_path(spark: SparkSession, root: str, name: str) -> str:
+    """Where a published table is to be read."""
+    return f"{root}/{read_text(spark, f'{root}/{CURRENT}')}/{name}"

@@ -1,37 +1,53 @@
-"""From landed JSON payloads to rows. A payload frame has one row per answer, its JSON text in ``payload``."""
+"""From landed JSON payloads to rows. A payload frame has one row per answer, its JSON text in ``payload``.
+
+It may have the time of the answer in ``landed_at``: of several answers to one question a later one is preferred. A chart
+that comes in pages has the place of a page's first entry in ``start``, from 0.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chartspark import schemas
-from chartspark.fixed_values import CHART_SIZE, COUNTRIES, GENRE_RULES, UNWANTED_KEYWORDS
+from chartspark.fixed_values import COUNTRIES, GENRE_RULES, UNWANTED_KEYWORDS
 from chartspark.functions.classify import Rules, keyword_genre
 from chartspark.functions.text import first_clean, is_upper, remove_text, word_count
-from chartspark.operators.relate import lookup, one_per_key
+from chartspark.operators.relate import LANDED, lookup, one_per_key
 
 
 def country_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COUNTRIES, schemas.COUNTRY_DIM)
 
 
-def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
+def parsed(payloads: DataFrame, schema: str) -> DataFrame:
+    """The fields of the schema in place of the JSON text; NULL for what is not there or does not fit."""
     return payloads.withColumn("payload", F.from_json("payload", schema))
 
 
-def chart_a(payloads: DataFrame, countries: DataFrame, limit: int | None = None) -> DataFrame:
-    """Rows of platform A's charts, from ``(country, payload)``, all or up to ``limit`` a country.
+def _optional(df: DataFrame, column: str) -> list[str]:
+    return [column] if column in df.columns else []
+
+
+def _entries(payloads: DataFrame, schema: str, entries: str, limit: int | None) -> DataFrame:
+    """(country, rank, entry): the entries of charts, all or up to ``limit`` a country.
 
-    The rank is the place in the payload, so an empty place leaves a gap.
+    The rank is the place in the chart, so an empty place leaves a gap.
     """
-    track, first_artist = F.col("item.track"), F.get(F.col("item.track.artists"), F.lit(0))
+    start = F.col("start") if "start" in payloads.columns else F.lit(0)
+    rows = parsed(payloads, schema).select("country", start.alias("start"), F.posexplode(entries).alias("pos", "entry"))
+    ranked = rows.select("country", (F.col("start") + F.col("pos") + 1).cast("bigint").alias("rank"), "entry")
+    return ranked if limit is None else ranked.filter(F.col("rank") <= limit)
+
+
+def chart_a(payloads: DataFrame, countries: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows of platform A's charts, from ``(country, payload)``, all or up to ``limit`` a country."""
+    track, first_artist = F.col("entry.track"), F.get(F.col("entry.track.artists"), F.lit(0))
     rows = (
-        _parsed(payloads, schemas.CHART_A_PAYLOAD)
-        .select("country", F.posexplode("payload.items").alias("pos", "item"))
-        .filter(track.isNotNull() if limit is None else track.isNotNull() & (F.col("pos") < limit))
+        _entries(payloads, schemas.CHART_A_PAYLOAD, "payload.items", limit)
+        .filter(track.isNotNull())
         .select(
             "country",
-            (F.col("pos") + 1).cast("bigint").alias("rank"),
+            "rank",
             track["id"].alias("track_id"),
             track["name"].alias("track_name"),
             first_artist["name"].alias("artist"),
@@ -46,15 +62,13 @@ def chart_a(payloads: DataFrame, countries: DataFrame, limit: int | None = None)
     return with_continent(rows, countries)
 
 
-def chart_b(payloads: DataFrame, countries: DataFrame, limit: int = CHART_SIZE) -> DataFrame:
-    """Rows of platform B's charts, from ``(country, payload)``, up to ``limit`` a country."""
-    track = F.col("track")
+def chart_b(payloads: DataFrame, countries: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows of platform B's charts, from ``(country, payload)``, all or up to ``limit`` a country."""
+    track = F.col("entry")
     rows = (
-        _parsed(payloads, schemas.CHART_B_PAYLOAD)
-        .select("country", F.posexplode("payload.tracks.track").alias("pos", "track"))
-        .filter(F.col("pos") < limit)
+        _entries(payloads, schemas.CHART_B_PAYLOAD, "payload.tracks.track", limit)
         .select(
-            (F.col("pos") + 1).cast("bigint").alias("rank"),
+            "rank",
             "country",
             track["name"].alias("track_name"),
             track["artist"]["name"].alias("artist"),
@@ -73,10 +87,14 @@ def with_continent(rows: DataFrame, countries: DataFrame) -> DataFrame:
 def audio_features(payloads: DataFrame) -> DataFrame:
     """One row of features per track id."""
     rows = (
-        _parsed(payloads, schemas.AUDIO_PAYLOAD)
-        .select(F.explode("payload.audio_features").alias("feature"))
+        parsed(payloads, schemas.AUDIO_PAYLOAD)
+        .select(F.explode("payload.audio_features").alias("feature"), *_optional(payloads, LANDED))
         .filter(F.col("feature.id").isNotNull())
-        .select(F.col("feature.id").alias("track_id"), *[F.col(f"feature.{c}") for c in schemas.AUDIO_COLUMNS])
+        .select(
+            F.col("feature.id").alias("track_id"),
+            *[F.col(f"feature.{c}") for c in schemas.AUDIO_COLUMNS],
+            *_optional(payloads, LANDED),
+        )
     )
     return one_per_key(rows, ["track_id"])
 
@@ -95,7 +113,7 @@ def found_tracks(payloads: DataFrame, unwanted: Sequence[str] = UNWANTED_KEYWORD
     """The chosen hit of each track search, from ``(track_name, artist, payload)``; searches without a hit vanish."""
     hit = F.col("hit")
     return (
-        _parsed(payloads, schemas.TRACK_SEARCH_PAYLOAD)
+        parsed(payloads, schemas.TRACK_SEARCH_PAYLOAD)
         .withColumn("hit", first_clean(F.col("payload.tracks.items"), unwanted=unwanted))
         .filter(hit.isNotNull())
         .select(
@@ -106,6 +124,7 @@ def found_tracks(payloads: DataFrame, unwanted: Sequence[str] = UNWANTED_KEYWORD
             hit["popularity"].alias("spotify_popularity"),
             hit["explicit"].alias("explicit"),
             hit["album"]["release_date"].alias("release_date"),
+            *_optional(payloads, LANDED),
         )
     )
 
@@ -117,30 +136,40 @@ def found_artists(payloads: DataFrame, rules: Rules = GENRE_RULES) -> DataFrame:
     """
     hit = F.get(F.col("payload.artists.items"), F.lit(0))
     return (
-        _parsed(payloads, schemas.ARTIST_SEARCH_PAYLOAD)
-        .select("artist", F.struct(hit["id"].alias("artist_id"), hit["genres"].alias("genres")).alias("info"))
-        .select("artist", "info.*")
+        parsed(payloads, schemas.ARTIST_SEARCH_PAYLOAD)
+        .select(
+            "artist",
+            F.struct(hit["id"].alias("artist_id"), hit["genres"].alias("genres")).alias("info"),
+            *_optional(payloads, LANDED),
+        )
+        .select("artist", "info.*", *_optional(payloads, LANDED))
         .withColumn("genre", keyword_genre(F.col("genres"), rules))
     )
 
 
-def albums(payloads: DataFrame) -> DataFrame:
-    """Rows of full albums, from ``(artist, payload)``; names with a bracket are other versions and left out."""
+def albums(payloads: DataFrame, all_types: bool = False) -> DataFrame:
+    """Rows of full albums, from ``(artist, payload)``; names with a bracket are other versions and left out.
+
+    With ``all_types`` none are left out, and ``album_type`` tells them apart. A list that is not given has no length:
+    its number is NULL.
+    """
     album = F.col("album")
+    wanted = F.lit(True) if all_types else (album["album_type"] == "album") & ~album["name"].contains("(")
     return (
-        _parsed(payloads, schemas.ALBUMS_PAYLOAD)
+        parsed(payloads, schemas.ALBUMS_PAYLOAD)
         .select("artist", F.explode("payload.items").alias("album"))
-        .filter((album["album_type"] == "album") & ~album["name"].contains("("))
+        .filter(wanted)
         .select(
             "artist",
             album["id"].alias("album_id"),
             album["name"].alias("album_name"),
             album["release_date"].alias("release_date"),
             album["total_tracks"].alias("total_tracks"),
-            F.size(album["artists"]).cast("bigint").alias("n_artists"),
+            F.array_size(album["artists"]).cast("bigint").alias("n_artists"),
             word_count(album["name"]).cast("bigint").alias("n_words_in_name"),
-            F.size(album["available_markets"]).cast("bigint").alias("available_markets"),
+            F.array_size(album["available_markets"]).cast("bigint").alias("available_markets"),
             is_upper(album["name"]).alias("is_album_name_capitalized"),
+            *([album["album_type"].alias("album_type")] if all_types else []),
         )
     )
 
@@ -148,8 +177,8 @@ def albums(payloads: DataFrame) -> DataFrame:
 def with_album_popularity(rows: DataFrame, details: DataFrame) -> DataFrame:
     """Attach the popularity from ``(album_id, payload)``; 0 where it is not given."""
     popularity = one_per_key(
-        _parsed(details, schemas.ALBUM_DETAIL_PAYLOAD).select(
-            "album_id", F.coalesce("payload.popularity", F.lit(0)).cast("bigint").alias("album_popularity")
+        parsed(details, schemas.ALBUM_DETAIL_PAYLOAD).select(
+            "album_id", F.col("payload.popularity").alias("album_popularity"), *_optional(details, LANDED)
         ),
         ["album_id"],
     )

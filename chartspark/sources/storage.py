@@ -31,6 +31,33 @@ def drop_now(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; one that is there is replaced in one step."""
+    system = spark._jvm.org.apache.hadoop.fs
+    target, draft = system.Path(path), system.Path(f"{path}.{uuid.uuid4().hex}")
+    context = system.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(draft)
+    out.write(text.encode())
+    out.close()
+    options = spark._jvm.java.lang.reflect.Array.newInstance(spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    options[0] = getattr(system, "Options$Rename").OVERWRITE
+    context.rename(files.makeQualified(draft), files.makeQualified(target), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them from there: the plan before it is not run again.
 

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+#: Files of a micro-batch: a backlog is worked off in steps, each of which can be restarted.
+FILES_PER_TRIGGER = 1000
+
+
 def stamp_rows(df: DataFrame, out: str = "ingested_at") -> DataFrame:
     """Add the time of the micro-batch."""
     return df.withColumn(out, F.current_timestamp())
@@ -20,17 +24,16 @@ def append_stream(
     source_format: str = "parquet",
     sink_format: str = "parquet",
     transform: Callable[[DataFrame], DataFrame] = stamp_rows,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int = FILES_PER_TRIGGER,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start appending the rows of all new files at ``source`` to ``sink``.
 
-    Without an ``interval`` the query takes what is there, in as many batches as needed, and ends. The
+    A micro-batch takes up to ``files_per_trigger`` files. Without an ``interval`` the query takes what is there, in as
+    many batches as needed, and ends. The
     checkpoint and the file sink's log give each row exactly once, also after a restart.
     """
-    reader = spark.readStream.format(source_format).schema(schema)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.format(source_format).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     writer = (
         transform(reader.load(source))
         .writeStream.format(sink_format)

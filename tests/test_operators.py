@@ -1,6 +1,6 @@
 import random
 from collections import defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +43,15 @@ def test_one_per_key(spark):
     assert rows(relate.one_per_key(df, ["k"])) == [("a", 1, "z"), ("b", None, None)]
 
 
+def test_one_per_key_prefers_values_then_the_latest(spark):
+    at = [datetime(2022, 5, day) for day in (1, 2, 3)]
+    df = spark.createDataFrame(
+        [("a", 1, "x", at[0]), ("a", 2, "y", at[1]), ("a", None, "z", at[2]), ("b", 5, "q", None), ("b", 7, "q", at[0]),
+         ("c", None, "r", at[0]), ("c", None, None, at[2])],
+        "k string, n int, s string, landed_at timestamp")
+    assert rows(relate.one_per_key(df, ["k"])) == [("a", 2, "y"), ("b", 7, "q"), ("c", None, "r")]
+
+
 def test_align_fills_with_the_other_type(spark):
     first = spark.createDataFrame([(1, "x")], "a int, b string")
     second = spark.createDataFrame([("y", 2.0, date(2020, 1, 1))], "b string, c double, d date")
@@ -60,6 +69,27 @@ def test_top_n_and_head(spark):
         rank.head_rows(df, ["n"], -1)
 
 
+def test_top_n_cuts_a_hot_group_in_parts(spark, monkeypatch):
+    df = spark.createDataFrame([("g", i) for i in range(500)] + [("h", 1)], "g string, n int")
+    expected = rows(rank.top_n(df, ["g"], [F.desc("n")], 20))
+    monkeypatch.setattr(rank, "CUT_BEFORE_SHUFFLE", 5)
+    cut = rank.top_n(df, ["g"], [F.desc("n")], 20)
+    assert rows(cut) == expected and cut.columns == ["g", "n", "rank"]
+
+
+def test_numbered_and_ranked_rows(spark):
+    values = [(f"g{i % 3}", i * 37 % 1009) for i in range(1009)]
+    df = spark.createDataFrame(values, "g string, n int").repartition(7)
+    assert sorted(tuple(r) for r in rank.numbered_rows(df, ["n"]).select("n", "number").collect()) == [
+        (n, i + 1) for i, n in enumerate(sorted(n for _, n in values))]
+    ranked = rank.all_ranked(df, ["g"], [F.desc("n")]).collect()
+    for g in ("g0", "g1", "g2"):
+        own = sorted((r["rank"], r.n) for r in ranked if r.g == g)
+        assert [k for k, _ in own] == list(range(1, len(own) + 1))
+        assert [n for _, n in own] == sorted((n for x, n in values if x == g), reverse=True)
+    assert rank.numbered_rows(df.limit(0), ["n"]).count() == 0
+
+
 def test_sorted_rows_keeps_copies(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (1, "a"), (1, "b")], "n int, s string")
     assert [tuple(r) for r in rank.sorted_rows(df, F.desc("n")).collect()] == [(2, "a"), (1, "a"), (1, "b"), (1, "b")]
@@ -117,11 +147,13 @@ def test_release_gaps_against_a_plain_loop(spark, seed):
 
 def test_id_batches_hold_every_id_once(spark):
     ids = [f"id{i % 700}" for i in range(2000)] + [None]
-    batches = rank.id_batches(spark.createDataFrame([(i,) for i in ids], "id string"), "id", digits=1).collect()
+    batches = rank.id_batches(spark.createDataFrame([(i,) for i in ids], "id string"), "id").collect()
     listed = [i for b in batches for i in b.ids.split(",")]
     assert sorted(listed) == sorted({i for i in ids if i})
-    assert all(b.n_ids == len(b.ids.split(",")) <= 50 for b in batches)
-    assert len(batches) <= 700 / 50 + 16
+    assert all(b.n_ids == len(b.ids.split(",")) == 50 for b in batches)
+    assert sorted(b.batch for b in batches) == list(range(14))
+    short = rank.id_batches(spark.createDataFrame([(str(i),) for i in range(101)], "id string"), "id").collect()
+    assert sorted(b.n_ids for b in short) == [1, 50, 50]
 
 
 def test_pick_candidate(spark):

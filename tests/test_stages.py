@@ -1,7 +1,10 @@
 """The whole run over the golden payloads, and its single stages."""
 
 import json
+import subprocess
+import sys
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -134,7 +137,9 @@ def test_publish(lake, spark, tmp_path):
     assert not (tmp_path / "docs").exists()
     for _ in range(2):
         stages.publish(lake, str(tmp_path / "docs"), floor=12)
-    docs = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "docs/all_top_charts")).collect()]
+    assert len(list((tmp_path / "docs").glob("*/all_top_charts"))) == 1  # the run before is gone
+    path = documents.published_path(spark, str(tmp_path / "docs"), "all_top_charts")
+    docs = [json.loads(r.value) for r in spark.read.text(path).collect()]
     assert len(docs) == 12
     assert all({"timestamp", "track_id", "lastfm_url"} <= set(d) for d in docs)
 
@@ -163,8 +168,8 @@ def test_force_refetch(spark, lake, tmp_path):
     for name in (stages.CHART_A, stages.CHART_B):
         copy.write(lake.read(name), name)
     payloads = golden.payloads(spark)
-    assert stages.augment(copy, payloads, max_artists=3) == (3, 4)
-    assert stages.augment(copy, payloads, force_refetch=True) == (8, 4)
+    assert stages.augment(copy, payloads, stages.Options(max_artists=3)) == (3, 4)
+    assert stages.augment(copy, payloads, stages.Options(force_refetch=True)) == (8, 4)
     assert copy.read(stages.ARTISTS).count() == 8
 
 
@@ -182,4 +187,54 @@ def test_run_from_end_to_end(spark, tmp_path):
     songs = lake.read(stages.SONGS_ML)
     assert songs.count() == 9
     assert {"Component_1", "Component_2", "Cluster"} <= set(songs.columns)
-    assert len(list((tmp_path / "docs").iterdir())) == len(stages.PUBLISHED)
+    assert len(list((tmp_path / "docs").glob("*/*/_SUCCESS"))) == len(stages.PUBLISHED)
+
+
+def test_refresh_stops_when_nothing_is_new(lake, spark):
+    broken = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("artist"), F.lit("").alias("payload"))
+    payloads = golden.payloads(spark)
+    payloads.artist_searches = payloads.albums = broken
+    assert stages.augment(lake, payloads) == (0, 0)
+
+
+def test_lists_of_what_to_fetch(lake):
+    assert rows(stages.tracks_to_search(lake).select("track_name", "artist")) == [
+        ("Chant", "Carl"), ("Lost", "Nobody"), ("Song", "Zoe")]
+    assert stages.tracks_to_search(lake, stages.Options(enrich_limit=1)).count() == 1
+    batches = stages.feature_batches(lake.read(stages.CHART_A)).collect()
+    assert [b.ids for b in batches] == ["t1,t2,t3,t4,t5"]
+    assert stages.artists_to_search(lake).count() == 0
+    assert stages.artists_to_search(lake, stages.Options(force_refetch=True)).count() == 8
+
+
+def test_options_limit_what_is_landed(spark, tmp_path):
+    lake, payloads = Lake(spark, str(tmp_path / "lake")), golden.payloads(spark)
+    options = stages.Options(countries=["France"], track_limit=2)
+    stages.land_chart_a(lake, payloads, options)
+    stages.land_chart_b(lake, payloads, options)
+    assert rows(lake.read(stages.RAW_A).select("country", "rank")) == [("France", 1)]
+    assert rows(lake.read(stages.RAW_B).select("country", "rank")) == [("France", 1), ("France", 2)]
+
+
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    path = str(tmp_path / "note")
+    assert storage.read_text(spark, path) is None
+    for text in ("first", "second"):
+        storage.write_text(spark, path, text)
+        assert storage.read_text(spark, path) == text
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["note"]
+
+
+def test_stored_rows_are_deleted_when_the_driver_ends(tmp_path):
+    """In a session of its own, since the files live as long as it."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from chartspark.session import build_session
+from chartspark.sources.storage import materialise
+spark = build_session("end", "local[1]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path)!r}, "spark.sql.shuffle.partitions": "1"}})
+assert materialise(spark.range(5)).count() == 5
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=120)
+    assert not list(tmp_path.rglob("*.parquet"))
