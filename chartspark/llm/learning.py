@@ -9,36 +9,47 @@ from chartspark.llm.common import fold, whole
 FOLDS, HELD_OUT = 3, 1
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str) -> DataFrame:
-    """(key, y, text) of the documents to learn from: labelled 0 or 1 and not in the held-out fold. A key that is
-    labelled more than once counts with its largest label; NULL keys have no label."""
-    marks = (
+def marks(labels: DataFrame, label: str, key: str) -> DataFrame:
+    """(key, y) to learn from: labelled 0 or 1 and not in the held-out fold. A key that is labelled more than once counts
+    with its largest label; NULL keys have no label."""
+    return (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y"))
         .filter(F.col("y").isin(0, 1) & (fold(F.col("key"), FOLDS) != HELD_OUT))
         .groupBy("key")
         .agg(F.max("y").alias("y"))
     )
-    return docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text")).join(marks, "key")
+
+
+def labelled(docs: DataFrame, marked: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, y, text) of all labelled documents."""
+    texts = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    # labels grow with the documents: sorted and merged at every size
+    return texts.join(marked.hint("merge"), "key")
 
 
 def held_out(key: Column) -> Column:
     return fold(key, FOLDS) == HELD_OUT
 
 
-def sample(rows: DataFrame, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """(y, text, part) of about ``per_class`` rows of each class, each text once, and the number of rows by class.
+def class_sizes(marked: DataFrame) -> dict[int, int]:
+    return {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def sample(docs: DataFrame, marked: DataFrame, sizes: dict[int, int], per_class: int, key: str, text: str) -> DataFrame:
+    """(y, text, part) of about ``per_class`` labelled documents of each class, each text once.
 
-    Rows are chosen by a hash of their text, so copies are chosen or left out together and count once. ``part`` deals
-    them into ten by another hash.
+    Labels are chosen by a hash of the key, so about twice ``per_class`` of them, and not many more, are broadcast; no
+    text is shuffled but the chosen ones. ``part`` deals the texts into ten by a hash; copies are in the same part.
     """
-    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     grain = 1 << 20
-    mark = F.pmod(F.xxhash64("text"), F.lit(grain))
+    chance = F.pmod(F.xxhash64("key"), F.lit(grain))
     chosen = F.lit(False)
     for y, n in sizes.items():
-        chosen = chosen | ((F.col("y") == y) & (mark < int(grain * min(1.0, per_class / n))))
+        chosen = chosen | ((F.col("y") == y) & (chance < int(grain * min(1.0, per_class / n))))
     part = F.pmod(F.xxhash64(F.lit(7), F.col("text")), F.lit(10))
-    return rows.filter(chosen).select("y", "text", part.alias("part")).dropDuplicates(["y", "text"]), sizes
+    texts = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    rows = texts.join(F.broadcast(marked.filter(chosen)), "key")
+    return rows.select("y", "text", part.alias("part")).dropDuplicates(["y", "text"])
 
 
 class Logistic:

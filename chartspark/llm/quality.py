@@ -5,7 +5,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chartspark.llm.common import in_arrow, whole
-from chartspark.llm.learning import Logistic, class_weights, held_out, labelled, sample
+from chartspark.llm.learning import (
+    Logistic, class_sizes, class_weights, held_out, labelled, marks, sample,
+)
 
 #: Distinct texts of each class to which the linear model is fitted, about. Counts are taken over all labelled texts.
 TEXTS_PER_CLASS = 2000
@@ -128,12 +130,13 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
           texts_per_class: int = TEXTS_PER_CLASS) -> Model:
     """Log-count ratios from all labelled texts, weights and calibration from a bounded sample (70 % and 30 % of it)."""
-    rows = labelled(docs, labels, label, key, text)
-    chosen, sizes = sample(rows, texts_per_class)
+    marked = marks(labels, label, key)
+    sizes = class_sizes(marked)
     share = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     if len(sizes) < 2:
         return Model(share=share)
-    ratios = log_ratios(rows)
+    ratios = log_ratios(labelled(docs, marked, key, text))
+    chosen = sample(docs, marked, sizes, texts_per_class, key, text)
 
     def found(batches):
         for batch in batches:

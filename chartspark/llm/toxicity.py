@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from chartspark.llm.common import in_arrow, whole
-from chartspark.llm.learning import Logistic, class_weights, held_out, labelled, sample
+from chartspark.llm.learning import Logistic, class_sizes, class_weights, held_out, marks, sample
 from chartspark.sources.storage import materialise
 
 #: Distinct texts of each class that are learnt from, about.
@@ -199,13 +199,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     units of :func:`toxic_units`. The rest, which the dictionaries have not seen, gives the savings on which the
     score is calibrated, with classes weighted as they are among all labelled texts.
     """
-    rows = labelled(docs, labels, label, key, text)
-    chosen, sizes = sample(rows, texts_per_class)
+    marked = marks(labels, label, key)
+    sizes = class_sizes(marked)
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if len(sizes) < 2:
         return Model(b"", b"", None, share)
     build, check = F.col("part") < 7, F.col("part") >= 7
-    chosen = materialise(chosen)
+    chosen = materialise(sample(docs, marked, sizes, texts_per_class, key, text))
     toxic = toxic_dictionary(toxic_units(chosen.filter(build)))
     model = Model(ordinary_dictionary(chosen.filter(build & (F.col("y") == 0))), toxic)
 
