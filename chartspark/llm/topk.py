@@ -40,7 +40,8 @@ def _matrix(vectors, width):
 
 def _products(queries, vectors):
     """Integer inner products. Sums beyond 2 ** 53 are added up without loss, and held at the ends of a long."""
-    bound = np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * queries.shape[1]
+    with np.errstate(over="ignore"):
+        bound = np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) * queries.shape[1]
     if bound < EXACT:
         return (queries @ vectors.T).astype(np.int64)
     whole = lambda m: [[int(x) for x in row] for row in m.tolist()]
@@ -116,7 +117,9 @@ def _part(spark, whole, asked, part, parts, k):
     n = len(held["keys"])
     # the sums of absolute values bound the scores
     most = whole.agg(F.max(F.array_max(F.transform("v", lambda c: F.abs(c))))).first()[0] or 0.0
-    bounds = [min(int(b), _MOST >> 2) for b in (np.abs(held["v"]).sum(axis=1) * most + 1).tolist()]
+    with np.errstate(over="ignore"):
+        sums = np.abs(held["v"]).sum(axis=1) * most + 1
+    bounds = [int(min(b, float(_MOST >> 2))) for b in sums.tolist()]
     low = np.array([-b for b in bounds], np.int64)
     width = np.array([-(-(2 * b + 1) // BINS) for b in bounds], np.int64)
     high = low + width * BINS  # the k-th value is from low on and below high

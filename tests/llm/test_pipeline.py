@@ -95,4 +95,4 @@ def test_odd_rows_and_no_documents(spark, tmp_path):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             docs.write.parquet(str(tmp_path / f"{name}{k}"))
             docs = stage(spark, spark.read.parquet(str(tmp_path / f"{name}{k}")), FOLDER)
-        assert {r.doc_id for r in docs.collect()} == ({None, 2} if name == "odd" else set())
+        assert {r.doc_id for r in docs.collect()} == ({1, 2} if name == "odd" else set())
