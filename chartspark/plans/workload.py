@@ -669,6 +669,7 @@ def incremental_append(spark, sf):
     for seen in (customers.filter("c_acctbal >= 0"), customers):
         known = storage.read_if_exists(spark, path, schema)
         storage.write_table(relate.unseen_rows(seen.drop("c_acctbal"), known, ["custkey"]), path, mode="append")
+    storage.drop_at_exit(spark, path)
     return storage.read_table(spark, path, schema)
 
 
@@ -957,6 +958,7 @@ def completeness_gate(spark, sf):
 def parquet_roundtrip(spark, sf):
     orders, path = table(spark, sf, "orders").drop("o_orderdate"), storage.fresh_path(spark, "orders")
     _, n_columns = storage.write_table(orders, path)
+    storage.drop_at_exit(spark, path)
     return storage.read_table(spark, path).select("*", F.lit(n_columns).alias("n_columns"))
 
 
@@ -969,6 +971,7 @@ def publish_docs(spark, sf):
     )
     root = storage.fresh_path(spark, "published")
     documents.publish({"events": events}, root, gate="events")
+    storage.drop_at_exit(spark, root)
     doc = F.from_json("value", "event_id bigint, event_type string, value double, user_id bigint, timestamp string")
     published = spark.read.text(documents.published_path(spark, root, "events")).select(doc.alias("d"), F.col("value").alias("document"))
     return published.select(
@@ -983,6 +986,8 @@ def stream_ingest(spark, sf):
     sink, checkpoint = storage.fresh_path(spark, "sink"), storage.fresh_path(spark, "stream")
     # The pattern matches the one table, be it a file or a folder.
     append_stream(spark, f"{sf}/events.parque[t]", inputs.TABLES["events"], sink, checkpoint).awaitTermination()
+    for path in (sink, checkpoint):
+        storage.drop_at_exit(spark, path)
     return storage.read_table(spark, sink).select(
         "event_id", "user_id", "event_type", "value", F.col("ingested_at").isNotNull().alias("stamped")
     )
