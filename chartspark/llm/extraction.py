@@ -33,6 +33,10 @@ MARKS = {
     "toolbar", "pagination", "pager", "copyright", "disclaimer", "search", "complementary", "contentinfo", "alert",
     "dialog", "paywall",
 }
+#: Words that mark an article as another one than the page's.
+OTHER_ARTICLES = {
+    "ad", "advert", "sponsored", "promo", "comment", "comments", "reply", "related", "recommended", "teaser", "card",
+}
 #: Words and an element that mark the head of a page, but may stand in an article around its title.
 HEADS = {"header", "masthead", "banner", "topbar"}
 ARTICLES = {"article", "main"}
@@ -83,13 +87,14 @@ def _marked(name: str, attributes: str, parent: Node) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    if name in ("html", "body") or name in ARTICLES:
+    if name in ("html", "body", "main"):
         return False
+    marks, heads = (OTHER_ARTICLES, set()) if name == "article" else (MARKS, HEADS)
     for value in _NAMES.findall(attributes):
         for token in "".join(value).split():
             parts = [p.lower() for p in _PARTS.findall(token)]
             found = {*parts, *map("".join, zip(parts, parts[1:]))}
-            if not MARKS.isdisjoint(found) or not (HEADS.isdisjoint(found) or _in_article(parent)):
+            if not marks.isdisjoint(found) or not (heads.isdisjoint(found) or _in_article(parent)):
                 return True
     return False
 
@@ -105,6 +110,18 @@ def _article(node: Node | None) -> Node | None:
     return node
 
 
+def _whole_article(node: Node) -> Node | None:
+    """The innermost article around a node; the main element around that if it holds no other article."""
+    article = _article(node)
+    main = article
+    while main is not None and main.name != "main":
+        main = main.parent
+    if main is None or main is article:
+        return article
+    articles = [n for n in _nodes(main) if n.name == "article" and not n.marked]
+    return main if articles == [article] else article
+
+
 def parse(page: str) -> Node:
     """The page's tree. Missing ends are supplied, ends without a beginning ignored, raw elements kept as one text."""
     root = node = Node("#page", None)
@@ -244,7 +261,7 @@ def main_text(page: str) -> str:
     best = max(blocks, key=lambda n: n.total)
     if not best.chars:
         return ""
-    article = _article(best)
+    article = _whole_article(best)
     if article is not None:
         chosen = {id(article)}
     else:
@@ -265,7 +282,7 @@ def _nodes(root: Node):
     while stack:
         node = stack.pop()
         yield node
-        stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+        stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.marked)
 
 
 def _choose(body: Node, threshold: float, best: Node, chosen: set[int]) -> None:

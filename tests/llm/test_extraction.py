@@ -48,6 +48,18 @@ def test_parts_dropped_inside_an_article():
     assert extraction.main_text(page(body)) == f"Head {SENTENCE} Two & three <b>. Last bold"
 
 
+def test_other_articles_are_left_out():
+    body = (
+        f"<header>Site <a href=/>home</a></header><main><h1>Title</h1><article><p>{SENTENCE}</p><p>{SENTENCE}</p>"
+        f"<section id='comments'><article class='comment'><p>{SENTENCE} I disagree.</p></article></section></article>"
+        f"<article class='comment'><p>{SENTENCE} Me too.</p></article></main>"
+        f"<div class='related'><article><p>{SENTENCE} {SENTENCE} {SENTENCE}</p></article></div>"
+    )
+    assert extraction.main_text(page(body)) == f"Title {SENTENCE} {SENTENCE}"
+    two = f"<main><article><h2>A</h2><p>{SENTENCE}</p><p>{SENTENCE}</p></article><article><h2>B</h2><p>Short one.</p></article></main>"
+    assert extraction.main_text(page(two)) == f"A {SENTENCE} {SENTENCE}"
+
+
 def test_broken_markup():
     body = "<article><h1>One</h1><p><b>Two words.<br><p>Three</b> four<ul><li>five<li>six</ul><p>seven</article><p>"
     assert extraction.main_text(page(body)) == "One Two words. Three four five six seven"
