@@ -80,9 +80,13 @@ def numbered_rows(df: DataFrame, order: Sequence[Column | str], out: str = "numb
 
 
 def all_ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rank") -> DataFrame:
-    """All rows of each group, numbered from 1 in an order that tells them apart; a hot group is no task of its own."""
+    """All rows of each group, numbered from 1 in an order that tells them apart; a hot group is no task of its own.
+
+    The first number of each group is stored, so that the join has a table on its right and splits hot groups. Groups are
+    not NULL.
+    """
     numbered = numbered_rows(df, [*group, *order], "_number")
-    first = numbered.groupBy(*group).agg(F.min("_number").alias("_first"))
+    first = materialise(numbered.groupBy(*group).agg(F.min("_number").alias("_first")))
     return numbered.join(first, list(group)).withColumn(rank, F.col("_number") - F.col("_first") + 1).drop("_number", "_first")
 
 
