@@ -224,6 +224,18 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return model
 
 
+def ordinary_rows(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores below the threshold; scored where they are read."""
+
+    def kept(batches):
+        score = model.scorer()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            yield batch.filter(pa.array(score(texts) < threshold, pa.bool_()))
+
+    return in_arrow(docs, kept, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.7,
              model: Model | None = None) -> DataFrame:
     """key, held_out, score, predicted for every row of ``docs``.

@@ -1,19 +1,16 @@
 """From raw documents to packed training sequences, in five stages."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from chartspark.llm import mixing, naming, packing, simhash, toxicity
-from chartspark.llm.common import numbered, rows_only, table, unused
+from chartspark.llm.common import rows_only, table
 from chartspark.llm.workload import tokenizer_path
 from chartspark.sources.storage import materialise
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted to the labels in ``sf_dir``, scores below its threshold."""
-    row = unused(docs, "_row")
-    numbers = docs.withColumn(row, F.monotonically_increasing_id())
-    found = toxicity.toxicity(numbers, table(spark, sf_dir, "labels"), model=toxicity.train(docs, table(spark, sf_dir, "labels")), key=row)
-    return rows_only(docs, found.filter("predicted = 1").select(F.col("key").alias("row")))
+    return toxicity.ordinary_rows(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

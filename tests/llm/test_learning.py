@@ -86,6 +86,17 @@ def test_scores_come_from_the_text_alone(spark):
     assert {r.key - 10_000: r.score for r in toxicity.toxicity(moved, marks, model=model).collect()} == first
 
 
+def test_rows_are_kept_with_their_columns(spark):
+    texts, labels = made(2, 150)
+    docs, marks = tables(spark, texts + [(None, None), (900, "")], labels)
+    model = toxicity.train(docs, marks)
+    kept = toxicity.ordinary_rows(docs, model)
+    assert kept.dtypes == docs.dtypes
+    expected = {r.key for r in toxicity.toxicity(docs, marks, model=model).collect() if not r.predicted}
+    assert {r.doc_id for r in kept.collect()} == expected and {None, 900} <= expected
+    assert toxicity.ordinary_rows(docs.limit(0), model).count() == 0
+
+
 def test_dual_coordinate_descent_reaches_the_optimum():
     """No multiplier can be moved to a better value on its own."""
     made_ = np.random.default_rng(0)
