@@ -90,12 +90,16 @@ def with_audio_features(
     as_of: Column | None = None,
     duration_unit: str = "ms",
     shares: Mapping[str, str] | None = None,
+    latest: str | None = None,
 ) -> DataFrame:
     """Age, minutes, 0-1 loudness and tempo, and the two composite indexes.
 
-    ``shares`` adds columns as a percentage of their maximum, ``{source: target}``, at no further pass.
+    ``shares`` adds columns as a percentage of their maximum, ``{source: target}``, and ``latest`` names a date column,
+    left out of the result, whose largest value is the day of reference; both at no further pass.
     """
     shares = shares or {}
+    if latest is not None:
+        as_of = F.col("_extremes")[latest]["high"]
     renamed = df.withColumnsRenamed({"loudness": "loudness_dB", "tempo": "tempo_bpm"})
     loudness = scaled("loudness_dB")
     added = {target: share_of_max(source) for source, target in shares.items()}
@@ -107,7 +111,8 @@ def with_audio_features(
         "energy_efficiency": energy_efficiency(F.col("energy"), F.col("danceability"), loudness),
         "emotional_impact": emotional_impact(F.col("valence"), F.col("energy"), F.col("liveness")),
     }
-    return with_extremes(renamed, ["loudness_dB", "tempo_bpm", *shares]).withColumns(added).drop("_extremes")
+    dates = [latest] if latest is not None else []
+    return with_extremes(renamed, ["loudness_dB", "tempo_bpm", *shares, *dates]).withColumns(added).drop("_extremes", *dates)
 
 
 def with_popularity_category(df: DataFrame, platform: str) -> DataFrame:

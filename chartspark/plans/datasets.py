@@ -26,18 +26,23 @@ from chartspark.sources import landing
 # --- Formatted charts -------------------------------------------------------------------------------------
 
 
-def formatted_chart_a(raw: DataFrame, as_of: Column | None = None, artist_ids: bool = False) -> DataFrame:
-    """``raw`` should be stored: its extremes are read from it first. ``artist_ids`` keeps the artists' ids."""
+def formatted_chart_a(
+    raw: DataFrame, as_of: Column | None = None, artist_ids: bool = False, latest: str | None = None
+) -> DataFrame:
+    """``raw`` is read twice: its extremes come first, from the few columns they need. ``artist_ids`` keeps the artists'
+    ids; for ``latest`` see :func:`~chartspark.functions.features.with_audio_features`."""
     typed = cast_columns(raw, ["duration_ms"], ["rank", "mode", "time_signature", "key"], ["explicit"], "release_date")
     return (
         typed.transform(with_popularity_category, "spotify")
-        .transform(with_audio_features, as_of)
+        .transform(with_audio_features, as_of, latest=latest)
         .drop("duration_ms", *([] if artist_ids else ["artist_id"]))
     )
 
 
-def formatted_chart_b(enriched: DataFrame, as_of: Column | None = None, duration_unit: str = "ms") -> DataFrame:
-    """``enriched`` should be stored: its extremes are read from it first."""
+def formatted_chart_b(
+    enriched: DataFrame, as_of: Column | None = None, duration_unit: str = "ms", latest: str | None = None
+) -> DataFrame:
+    """``enriched`` is read twice: its extremes come first, from the few columns they need."""
     typed = cast_columns(
         enriched,
         ["duration_ms", "lastfm_listeners"],
@@ -47,7 +52,7 @@ def formatted_chart_b(enriched: DataFrame, as_of: Column | None = None, duration
     )
     shares = {"lastfm_listeners": "lastfm_popularity"}
     return (
-        typed.transform(with_audio_features, as_of, duration_unit, shares)
+        typed.transform(with_audio_features, as_of, duration_unit, shares, latest)
         .transform(with_popularity_category, "lastfm")
         .drop("duration_ms", "spotify_popularity")
     )

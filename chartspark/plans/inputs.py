@@ -2,7 +2,7 @@
 
 An order line is a chart entry: its part is the track, the part's brand the artist, the line number the rank.
 Platform A files it under the supplier's nation, platform B under the customer's. Brands get a genre from the
-words of their part names. A raw chart is stored, as the daily run does it, before its extremes are taken.
+words of their part names. A raw chart is read twice, once for its extremes and its last day.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chartspark.functions.classify import Rules, keyword_genre
 from chartspark.operators.rank import all_ranked, top_n
 from chartspark.plans import datasets
-from chartspark.sources.storage import materialise
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -113,12 +112,15 @@ def _lines_with_part(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
 
-def raw_a(spark: SparkSession, sf: str) -> DataFrame:
+SHIPPED = "shipped"
+
+
+def raw_a(spark: SparkSession, sf: str, *added: Column) -> DataFrame:
     return (
         _lines_with_part(spark, sf)
         .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nations(spark, sf), F.col("s_nationkey") == F.col("nationkey"))
-        .select("country", "continent", *[v.alias(k) for k, v in _entry_columns().items()])
+        .select("country", "continent", *[v.alias(k) for k, v in _entry_columns().items()], *added)
     )
 
 
@@ -134,7 +136,7 @@ _B_ADDED = ["track_id", "album", "spotify_popularity", "explicit", "release_date
             "time_signature"]
 
 
-def enriched_b(spark: SparkSession, sf: str) -> DataFrame:
+def enriched_b(spark: SparkSession, sf: str, *added: Column) -> DataFrame:
     entry = _entry_columns()
     return (
         _lines_with_part(spark, sf)
@@ -148,6 +150,7 @@ def enriched_b(spark: SparkSession, sf: str) -> DataFrame:
             F.floor("l_extendedprice").cast("string").alias("lastfm_listeners"),
             F.concat(F.lit("https://charts.example/"), F.col("l_partkey")).alias("lastfm_url"),
             *[F.when(F.col("l_linestatus") == "F", entry[c]).alias(c) for c in _B_ADDED],
+            *added,
         )
     )
 
@@ -164,16 +167,16 @@ enriched_b AS (
     FROM lines_b)"""
 
 
-def last_shipdate(spark: SparkSession, sf: str) -> Column:
-    return table(spark, sf, "lineitem").agg(F.max("l_shipdate").cast("date")).scalar()
+def _shipped() -> Column:
+    return F.col("l_shipdate").cast("date").alias(SHIPPED)
 
 
 def formatted_a(spark: SparkSession, sf: str, artist_ids: bool = False) -> DataFrame:
-    return datasets.formatted_chart_a(materialise(raw_a(spark, sf)), last_shipdate(spark, sf), artist_ids)
+    return datasets.formatted_chart_a(raw_a(spark, sf, _shipped()), artist_ids=artist_ids, latest=SHIPPED)
 
 
 def formatted_b(spark: SparkSession, sf: str) -> DataFrame:
-    return datasets.formatted_chart_b(materialise(enriched_b(spark, sf)), last_shipdate(spark, sf))
+    return datasets.formatted_chart_b(enriched_b(spark, sf, _shipped()), latest=SHIPPED)
 
 
 def _formatted_sql(source: str, platform: str, dropped: str) -> str:
