@@ -21,6 +21,13 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def under(hashed: Column, share: float) -> Column:
+    """Is a 64-bit hash among the given share of all its values, from the smallest on? No share is rounded to none."""
+    if share >= 1:
+        return F.lit(True)
+    return hashed < F.lit(max(1, int(share * 2**64)) - 2**63).cast("long")
+
+
 def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
     """The columns and ``row``, a number for every row of a stored table.
 
