@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chartspark.llm.common import fold, whole
+from chartspark.llm.common import fold, under, whole
+from chartspark.sources.storage import materialise
 
 #: Parts into which keys are dealt, and the one that no classifier learns from.
 FOLDS, HELD_OUT = 3, 1
@@ -35,20 +36,22 @@ def class_sizes(marked: DataFrame) -> dict[int, int]:
     return {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def sample(docs: DataFrame, marked: DataFrame, sizes: dict[int, int], per_class: int, key: str, text: str) -> DataFrame:
-    """(y, text, part) of about ``per_class`` labelled documents of each class, each text once.
+def sample(docs: DataFrame, marked: DataFrame, per_class: int, key: str, text: str) -> DataFrame:
+    """(y, text, part) of about ``per_class`` distinct labelled texts of each class, all where there are no more.
 
-    Labels are chosen by a hash of the key, so about twice ``per_class`` of them, and not many more, are broadcast; no
-    text is shuffled but the chosen ones. ``part`` deals the texts into ten by a hash; copies are in the same part.
+    Texts are chosen by their hash, with a chance by the number of distinct texts, so copies of a text count once. For
+    that only keys, labels and hashes are shuffled; one key of each chosen text, about twice ``per_class`` in all, is
+    broadcast, and no text is shuffled but the chosen ones. ``part`` deals the texts into ten by a hash; copies are in
+    the same part.
     """
-    grain = 1 << 20
-    chance = F.pmod(F.xxhash64("key"), F.lit(grain))
+    texts = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    hashes = texts.select("key", F.xxhash64("text").alias("hash")).join(marked.hint("merge"), "key")
+    once = materialise(hashes.groupBy("y", "hash").agg(F.min("key").alias("key")))
     chosen = F.lit(False)
-    for y, n in sizes.items():
-        chosen = chosen | ((F.col("y") == y) & (chance < int(grain * min(1.0, per_class / n))))
+    for y, n in class_sizes(once).items():
+        chosen = chosen | ((F.col("y") == y) & under(F.col("hash"), per_class / n))
     part = F.pmod(F.xxhash64(F.lit(7), F.col("text")), F.lit(10))
-    texts = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"))
-    rows = texts.join(F.broadcast(marked.filter(chosen)), "key")
+    rows = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(once.filter(chosen)), ["key", "hash"])
     return rows.select("y", "text", part.alias("part")).dropDuplicates(["y", "text"])
 
 

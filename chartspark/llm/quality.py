@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if len(sizes) < 2:
         return Model(share=share)
     ratios = log_ratios(labelled(docs, marked, key, text))
-    chosen = sample(docs, marked, sizes, texts_per_class, key, text)
+    chosen = sample(docs, marked, texts_per_class, key, text)
 
     def found(batches):
         for batch in batches:

@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if len(sizes) < 2:
         return Model(b"", b"", None, share)
     build, check = F.col("part") < 7, F.col("part") >= 7
-    chosen = materialise(sample(docs, marked, sizes, texts_per_class, key, text))
+    chosen = materialise(sample(docs, marked, texts_per_class, key, text))
     toxic = toxic_dictionary(toxic_units(chosen.filter(build)))
     model = Model(ordinary_dictionary(chosen.filter(build & (F.col("y") == 0))), toxic)
 

@@ -97,6 +97,30 @@ def test_rows_are_kept_with_their_columns(spark):
     assert toxicity.ordinary_rows(docs.limit(0), model).count() == 0
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    """Of 4100 texts of a class 4000 are one text; the 100 others make up the sample all the same."""
+    texts = [(i, f"rare {i}" if i < 150 else "copy") for i in range(4150)] + [(5000 + i, f"plain {i}") for i in range(300)]
+    texts += [(7, "a second text of a key")]
+    docs, marks = tables(spark, texts, [(i, int(i < 5000), 0) for i in sorted({k for k, _ in texts})])
+    marked = learning.marks(marks, "toxic", "doc_id")
+    unseen = {r.doc_id for r in docs.filter(learning.held_out(learning.F.col("doc_id"))).collect()}
+    every = {(int(k < 5000), t) for k, t in texts if k not in unseen}
+    found = [(r.y, r.text) for r in learning.sample(docs, marked, per_class=400, key="doc_id", text="text").collect()]
+    assert sorted(found) == sorted(every)
+    some = [r.y for r in learning.sample(docs, marked, per_class=50, key="doc_id", text="text").collect()]
+    assert 25 < some.count(1) < 80 and 25 < some.count(0) < 80
+
+
+def test_toxic_texts_are_found_beside_a_group_of_copies(spark):
+    texts, labels = made(4, 400)
+    texts += [(10_000 + i, "mi ka lo vrexil re tu") for i in range(20_000)]
+    docs, marks = tables(spark, texts, labels + [(10_000 + i, 1, 0) for i in range(20_000)])
+    model = toxicity.train(docs, marks, texts_per_class=200)
+    truth = {k: t for k, t, _ in labels}
+    unseen = [r for r in toxicity.toxicity(docs, marks, model=model).collect() if r.held_out and r.key < 10_000]
+    assert np.mean([r.predicted for r in unseen if truth[r.key]]) > 0.9
+
+
 def test_dual_coordinate_descent_reaches_the_optimum():
     """No multiplier can be moved to a better value on its own."""
     made_ = np.random.default_rng(0)
