@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark.session import ship_package
+from chartspark.sources.storage import materialise
 
 SPACE = r"\x20\x09-\x0D"
 
@@ -28,13 +29,21 @@ def under(hashed: Column, share: float) -> Column:
     return hashed < F.lit(max(1, int(share * 2**64)) - 2**63).cast("long")
 
 
-def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+def numbered(docs: DataFrame, *columns: Column, row: str | None = None) -> DataFrame:
     """The columns and ``row``, a number for every row of a stored table.
 
-    The number follows from the file split and the place in it, so a task that is run again gives the same numbers. A
-    frame whose row order can change (after a shuffle) has to be stored before.
+    The number follows from the file split and the place in it, so a task that is run again gives the same numbers; a
+    later read can be split in another way, and gives others. Where rows have to be found again, they are stored with
+    their numbers first (:func:`stored_rows`), and ``row`` is the column that has them. A frame whose row order can
+    change (after a shuffle) has to be stored before.
     """
-    return docs.select(F.monotonically_increasing_id().alias("row"), *columns)
+    return docs.select((F.monotonically_increasing_id() if row is None else F.col(row)).alias("row"), *columns)
+
+
+def stored_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows of a stored table, written once more with a number each, and the name of the column that has it."""
+    number = unused(docs, "_row")
+    return materialise(docs.withColumn(number, F.monotonically_increasing_id())), number
 
 
 def unused(docs: DataFrame, stem: str) -> str:
@@ -46,12 +55,10 @@ def unused(docs: DataFrame, stem: str) -> str:
     return name
 
 
-def rows_only(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of a stored table that are not in ``rows`` (column ``row``, as given by :func:`numbered`)."""
-    number = unused(docs, "_row")
+def rows_only(docs: DataFrame, number: str, rows: DataFrame) -> DataFrame:
+    """The rows of a frame of :func:`stored_rows` whose number is not in ``rows`` (column ``row``), without the number."""
     gone = rows.select(F.col("row").alias(number))
-    kept = docs.withColumn(number, F.monotonically_increasing_id()).join(gone, number, "left_anti")
-    return kept.drop(number)
+    return docs.join(gone, number, "left_anti").drop(number)
 
 
 def in_arrow(rows: DataFrame, function, schema) -> DataFrame:

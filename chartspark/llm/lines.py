@@ -2,19 +2,20 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from chartspark.llm.common import numbered, whole
+from chartspark.llm.common import numbered, stored_rows, whole
 from chartspark.sources.storage import materialise
 
 WINDOW_LINES = 3
 
 
-def window_names(docs: DataFrame, key: str, text: str, size: int = WINDOW_LINES) -> DataFrame:
+def window_names(docs: DataFrame, key: str, text: str, size: int = WINDOW_LINES, row: str | None = None) -> DataFrame:
     """(row, key, pos, a, b): every window of ``size`` lines with a hash of 128 bits, of its first line's place."""
     lines = F.split(whole(F.col(text)), "\n", -1)
     hashed = numbered(
         docs,
         F.col(key).alias("key"),
         F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("lines"),
+        row=row,
     ).filter(F.size("lines") >= size)
     windows = F.transform(
         F.sequence(F.lit(0), F.size("lines") - size),
@@ -36,10 +37,11 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     after all others. ``docs`` is a stored table.
 
     Returns row, key, text (what is left), n_lines, removed (array of the places of the removed lines, from 0), one row
-    for every row of ``docs``. Hot windows are counted before the shuffle; the look-up that marks the repeats joins two
+    for every row of ``docs``. Texts are stored once with their numbers, by which they are found again. Hot windows are counted before the shuffle; the look-up that marks the repeats joins two
     stored tables, so that adaptive execution splits a window that very many documents share.
     """
-    windows = materialise(window_names(docs, key, text, size))
+    docs, number = stored_rows(docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text")))
+    windows = materialise(window_names(docs, "key", "text", size, number))
     place = F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "pos")
     repeated = materialise(
         windows.groupBy("a", "b")
@@ -62,7 +64,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
             ).alias("removed"),
         )
     )
-    texts = numbered(docs, F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    texts = numbered(docs, F.col("key"), F.col("text"), row=number)
     lines = F.split("text", "\n", -1)
     none = F.array().cast("array<int>")
     return texts.join(covered, "row", "left").select(

@@ -92,19 +92,20 @@ def document_names(docs: DataFrame, data: str, carried: list[str], block_bytes:
 
 
 def exact_dedup(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, row: str | None = None
 ) -> DataFrame:
     """Groups of documents with equal text, and the one that stays.
 
     Texts are equal when they are identical after deleting white space (``[\\x20\\x09-\\x0D]``). Of equal texts the one
     with the most code points stays, then the smallest key; NULL keys come last, and of rows equal in both the first in
-    the table. A NULL text counts as empty. ``docs`` is a stored table (see :func:`~chartspark.llm.common.numbered`).
+    the table. A NULL text counts as empty. ``docs`` is a stored table (see :func:`~chartspark.llm.common.numbered`);
+    ``row`` names its column of row numbers, if it has one.
 
     Returns a row for every row of ``docs``: row (its number), key, keep_key, group_size, kept, text_sha256 (of the
     text without white space). An empty table gives an empty result; other columns of ``docs`` are not looked at.
     """
     squeezed = F.regexp_replace(whole(F.col(text)), f"[{SPACE}]+", "").cast("binary")
-    texts = numbered(docs, F.col(key).alias("key"), F.char_length(whole(F.col(text))).alias("points"), squeezed.alias("data"))
+    texts = numbered(docs, F.col(key).alias("key"), F.char_length(whole(F.col(text))).alias("points"), squeezed.alias("data"), row=row)
     texts = texts.withColumn("sha", F.unhex(F.sha2("data", 256)))
     named = materialise(document_names(texts, "data", ["key", "points", "sha"], block_bytes))
     best = F.min(F.struct(-F.col("points"), F.col("key").isNull(), F.col("key"), F.col("row")))

@@ -50,7 +50,9 @@ def _packed(bits: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, words: int = SHINGLE_WORDS) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, key: str, text: str, words: int = SHINGLE_WORDS, row: str | None = None
+) -> DataFrame:
     """(row, key, print): the fingerprint as a signed long."""
 
     def prints(batches):
@@ -60,7 +62,7 @@ def fingerprints(docs: DataFrame, key: str, text: str, words: int = SHINGLE_WORD
                 [batch.column("row"), batch.column("key"), pa.array(found)], names=["row", "key", "print"]
             )
 
-    rows = numbered(docs, F.col(key).alias("key"), whole(F.col(text)).alias("text"))
+    rows = numbered(docs, F.col(key).alias("key"), whole(F.col(text)).alias("text"), row=row)
     schema = rows.drop("text").schema.add("print", "long")
     return in_arrow(rows, prints, schema)
 
@@ -257,19 +259,20 @@ def _rest(batches, start):
 
 
 def simhash_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    row: str | None = None,
 ) -> DataFrame:
     """Documents linked by fingerprints within ``max_bits`` of each other, directly or over others.
 
     The shingles are ``words`` words long (lower-cased A-Z, split at ASCII white space); a text with fewer words is one
     shingle, a text without words (empty or NULL) has fingerprint zero and is linked like any other.
 
-    Returns a row for every row of the stored table ``docs``: row, key, fingerprint (16 hexadecimal digits), component
+    Returns a row for every row of the stored table ``docs``: row (from its column of that name, if one is named), key, fingerprint (16 hexadecimal digits), component
     (smallest key that is not NULL among all linked rows), kept (the row with that key; of several the first in the
     table). Equal fingerprints are one node, so copies cost one row; hot ones are split by the join's skew handling. An
     empty table gives an empty result.
     """
-    rows = materialise(fingerprints(docs, key, text, words))
+    rows = materialise(fingerprints(docs, key, text, words, row))
     first = F.struct(F.col("key").isNull().alias("no_key"), F.col("key").alias("key"), F.col("row").alias("row"))
     nodes = materialise(rows.groupBy("print").agg(F.min(first).alias("first")))
     roots = components(links(nodes, max_bits)).withColumnRenamed("node", "print")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from chartspark.llm import mixing, naming, packing, simhash, toxicity
-from chartspark.llm.common import rows_only, table
+from chartspark.llm.common import rows_only, stored_rows, table
 from chartspark.llm.workload import tokenizer_path
 from chartspark.sources.storage import materialise
 
@@ -15,12 +15,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of every group of documents with equal text."""
-    return rows_only(docs, naming.exact_dedup(docs).filter("NOT kept").select("row"))
+    docs, row = stored_rows(docs)
+    return rows_only(docs, row, naming.exact_dedup(docs, row=row).filter("NOT kept").select("row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of every group of documents linked by SimHash fingerprints."""
-    return rows_only(docs, simhash.simhash_groups(docs).filter("NOT kept").select("row"))
+    docs, row = stored_rows(docs)
+    return rows_only(docs, row, simhash.simhash_groups(docs, row=row).filter("NOT kept").select("row"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,3 +55,15 @@ def test_all_lines_removed_and_no_documents(spark, tmp_path):
 def test_a_hot_passage(spark, tmp_path):
     rows = [(i, "p\nq\nr\ns" if i % 3 else f"{i}\nq\nr") for i in range(600)]
     assert found(spark, tmp_path, rows) == expected(rows)
+
+
+def test_files_are_split_in_another_way_later(spark, tmp_path, other_splits):
+    """The rows that are cut are those whose windows were found, however the second read is split."""
+    passage = "p\nq\nr"
+    rows = [(i, f"own {i}\n{passage}" if i % 3 else f"{i}\na {i}\nb {i}\nc {i}") for i in range(160)]
+    frame = spark.createDataFrame([(k, t, 0) for k, t in rows], "doc_id long, text string, pos int")
+    frame.repartitionByRange(16, "doc_id").write.parquet(str(tmp_path / "docs"))
+    result = lines.line_dedup(spark.read.parquet(str(tmp_path / "docs")))
+    other_splits()
+    got = sorted(((r.key, r.text, r.n_lines, list(r.removed)) for r in result.collect()), key=repr)
+    assert got == expected(rows)

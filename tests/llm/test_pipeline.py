@@ -1,5 +1,6 @@
 """The pipeline's stages one after the other, against plain versions of their decisions."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -96,3 +97,15 @@ def test_odd_rows_and_no_documents(spark, tmp_path):
             docs.write.parquet(str(tmp_path / f"{name}{k}"))
             docs = stage(spark, spark.read.parquet(str(tmp_path / f"{name}{k}")), FOLDER)
         assert {r.doc_id for r in docs.collect()} == ({1, 2} if name == "odd" else set())
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies])
+def test_files_are_split_in_another_way_later(spark, tmp_path, other_splits, stage):
+    """The rows that go are those that were found to be copies, however the second read is split."""
+    texts = [" ".join(random.Random(i // 2).choices(["red", "oak", "fish", "sun", "hill", "rope"], k=60)) for i in range(160)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.repartitionByRange(16, "doc_id").write.parquet(str(tmp_path / "docs"))
+    kept = stage(spark, spark.read.parquet(str(tmp_path / "docs")), FOLDER)
+    other_splits()
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 160, 2))
