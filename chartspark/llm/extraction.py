@@ -1,5 +1,6 @@
 """Main text of web pages by composite text density."""
 
+import heapq
 import html
 import math
 import re
@@ -37,6 +38,10 @@ MARKS = {
 OTHER_ARTICLES = {
     "ad", "advert", "sponsored", "promo", "comment", "comments", "reply", "related", "recommended", "teaser", "card",
 }
+#: How an element is marked: for good, by a part of a name that a wrapper of the main text may bear too, by a whole
+#: name or one of another article.
+FOR_GOOD, BY_WORD, BY_OTHER = 1, 2, 3
+FAR_MORE = 4
 #: Words and an element that mark the head of a page, but may stand in an article around its title.
 HEADS = {"header", "masthead", "banner", "topbar"}
 ARTICLES = {"article", "main"}
@@ -63,7 +68,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTES = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NAMING = {"class", "id", "role"}
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 _SPACES = re.compile(r"\s+")
@@ -74,29 +80,89 @@ class Node:
 
     __slots__ = ("name", "parent", "children", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: "Node | None", marked: bool = False):
+    def __init__(self, name: str, parent: "Node | None", marked: int = 0):
         self.name, self.parent, self.children, self.marked = name, parent, [], marked
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _marked(name: str, attributes: str, parent: Node) -> bool:
+def _marked(name: str, attributes: str, parent: Node) -> int:
+    if name == "form":
+        return FOR_GOOD if attributes and _HIDDEN.search(attributes) else BY_WORD
     if name in DROPPED or (name == "header" and not _in_article(parent)):
-        return True
+        return FOR_GOOD
     if not attributes:
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
+        return FOR_GOOD
     if name in ("html", "body", "main"):
-        return False
+        return 0
     marks, heads = (OTHER_ARTICLES, set()) if name == "article" else (MARKS, HEADS)
-    for value in _NAMES.findall(attributes):
+    marked = 0
+    for attribute, *value in _ATTRIBUTES.findall(attributes):
+        if attribute.lower() not in _NAMING:
+            continue
         for token in "".join(value).split():
             parts = [p.lower() for p in _PARTS.findall(token)]
             found = {*parts, *map("".join, zip(parts, parts[1:]))}
+            if not OTHER_ARTICLES.isdisjoint(found) or token.lower() in marks:
+                return BY_OTHER
             if not marks.isdisjoint(found) or not (heads.isdisjoint(found) or _in_article(parent)):
-                return True
-    return False
+                marked = BY_WORD
+    return marked
+
+
+def _restore(root: Node) -> None:
+    """Take the marks from elements that hold the main text after all, the largest first, and look into them again.
+
+    Those are elements with a main element, with more text outside links than all that is not marked, or with an article
+    where there is none that is not marked. A mark that is a whole name, or a word of another article as of comments, stays
+    unless no article is without marks and the element has a main element or ``FAR_MORE`` times the text. What the density makes of the elements is left to it.
+    """
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node) and c.marked != FOR_GOOD)
+    facts: dict[int, tuple] = {}  # text, text and articles without marks, holds an article, holds a main element
+    for node in reversed(order):
+        text = open_text = articles = 0
+        article, main = node.name == "article" and not node.marked, node.name == "main"
+        for child in node.children:
+            if isinstance(child, str):
+                size = len(_SPACES.sub(" ", child).strip())
+                text, open_text = text + size, open_text + size
+            elif child.marked != FOR_GOOD:
+                inner = facts[id(child)]
+                text, article, main = text + inner[0], article or inner[3], main or inner[4]
+                if not child.marked:
+                    open_text, articles = open_text + inner[1], articles + inner[2]
+        if node.name == "a":
+            text = open_text = 0
+        articles += node.name in ARTICLES and open_text > 0
+        facts[id(node)] = text, open_text, articles, article and text > 0, main and text > 0
+    _, seen, articles, _, _ = facts[id(root)]
+    heap, opened, n = [], [root], 0
+    while True:
+        while opened:
+            for child in opened.pop().children:
+                if isinstance(child, Node) and child.marked not in (0, FOR_GOOD):
+                    n += 1
+                    heapq.heappush(heap, (-facts[id(child)][0], n, child))
+                elif isinstance(child, Node) and not child.marked:
+                    opened.append(child)
+        if not heap:
+            return
+        _, _, node = heapq.heappop(heap)
+        text, open_text, inner, article, main = facts[id(node)]
+        if node.marked == BY_WORD:
+            held = main or text > seen or (article and not articles)
+        else:
+            held = not articles and (main or text > FAR_MORE * seen)
+        if held:
+            node.marked = 0
+            seen, articles = seen + open_text, articles + inner
+            opened.append(node)
 
 
 def _in_article(node: Node | None) -> bool:
@@ -246,9 +312,11 @@ def main_text(page: str) -> str:
     dense text stands together there, and the element with the largest sum is the main one. The smallest density on the
     path from it to the body is the threshold: other blocks next to that path which reach it, and headings before the main
     element, belong to the main text too. If the main element is part of an article element, that is the main text.
-    Elements that are marked as something else, by name or class, and blocks of links are left out throughout.
+    Elements that are marked as something else, by name or class, and blocks of links are left out throughout; a wrapper
+    of the main text that bears such a class is not (see :func:`_restore`).
     """
     root = parse(page)
+    _restore(root)
     body = next((n for n in _nodes(root) if n.name == "body"), root)
     order = _measured(body)
     ratio = body.link_chars / body.chars if body.chars else 0.0

@@ -103,3 +103,27 @@ def test_all_given_pages(spark):
         body = re.search("<article>(.*)</article>", r.html, re.S)[1]
         blocks = re.split("</?(?:h1|p)>", re.sub("</?b>", "", body.replace("<br>", " ")))
         assert r.text == " ".join(x for x in (" ".join(html.unescape(b).split()) for b in blocks) if x)
+
+
+TEXT = "The main text of this page goes on for a while, with several words in every sentence of it. " * 4
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<div class="content with-sidebar">', "</div>"),
+    ('<div id="page-no-sidebar">', "</div>"),
+    ('<section class="post has-share-buttons"><article>', "</article></section>"),
+    ('<div class="search-and-content"><main>', "</main></div>"),
+    ('<form action="/go">', "</form>"),
+    ('<div class="no-ads"><div class="has-sidebar">', "</div></div>"),
+    ('<div data-id="ad" data-role="banner">', "</div>"),
+])
+def test_wrappers_named_after_what_stands_beside_the_text(open_, close):
+    page = f"<body><nav><a href=x>home</a></nav>{open_}<p>{TEXT}</p><div class=sidebar><p>beside it</p></div>{close}<footer>end</footer></body>"
+    assert extraction.main_text(page) == TEXT.strip()
+
+
+def test_marks_beside_the_text_stay():
+    for marked in ('<div class="comments"><article><p>{}</p></article></div>', '<div class="sidebar"><p>{}</p></div>'):
+        page = f"<body><article><p>{TEXT}</p></article>{marked.format('What a reader says. ' * 9)}</body>"
+        assert extraction.main_text(page) == TEXT.strip()
+    assert extraction.main_text(f"<body><p>{TEXT}</p><form><p>Your name, please.</p></form></body>") == TEXT.strip()
