@@ -1,5 +1,6 @@
 """Helpers shared by the operators."""
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark.session import ship_package
@@ -61,6 +62,20 @@ def rows_only(docs: DataFrame, number: str, rows: DataFrame) -> DataFrame:
     return docs.join(gone, number, "left_anti").drop(number)
 
 
+def portions(batches, column: str, size: int = 2 << 20):
+    """The batches in parts with texts of about ``size`` bytes; a longer text is in a part of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        begin, held = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if i > begin and held + n > size:
+                yield batch.slice(begin, i - begin)
+                begin, held = i, 0
+            held += n
+        if begin < batch.num_rows:
+            yield batch.slice(begin)
+
+
 def in_arrow(rows: DataFrame, function, schema) -> DataFrame:
     """``rows.mapInArrow`` with a function of this package."""
     ship_package(rows.sparkSession)

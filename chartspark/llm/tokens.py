@@ -48,19 +48,24 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, equal to those of the tokenizer in the file.
 
     Where the file describes plain byte-pair merging, the same merges are run by tiktoken, which is several times as fast
-    for words that come for the first time. The tokenizer itself takes what that library cannot.
+    for words that come for the first time. The tokenizer itself takes what that library cannot, and texts that hold the
+    string of an added token. With ``plain`` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if t.content and not (plain and t.special)]
         ranks = _ranks(path)
         self.fast = ranks and tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
+        if any(content in text for content in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(self._encoded(part) for part in stretches(text))
 
     def _encoded(self, text: str) -> bytes:
@@ -95,11 +100,23 @@ def stretches(text: str):
     yield text[at:]
 
 
-_encoders: dict[str, Encoder] = {}
+def byte_level_entries(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary; empty for ids without an entry and for special tokens."""
+    with open(path, encoding="utf-8") as file:
+        description = json.load(file)
+    byte, special = _bytes_of(), {t["content"] for t in description.get("added_tokens", ()) if t.get("special")}
+    vocabulary = description["model"]["vocab"]
+    out = [b""] * (max([*vocabulary.values(), *(t["id"] for t in description.get("added_tokens", ()))]) + 1)
+    for token, i in vocabulary.items():
+        out[i] = b"" if token in special else bytes(byte[c] for c in token)
+    return out
+
+
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder for the file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
