@@ -14,15 +14,14 @@ from chartspark.llm.workload import tokenizer_path
 TEXTS = [
     "", " ", "\n\n", "Hello, world.", "it's  don't\n\tWe'LL 've", "a  b c \x1c d\x85e", "trailing \n ", "  leading",
     "ciónueue íar\n\nosrrall", "1234567 89,000.5!!! ### $$$", "e.g., i.e.; x.,", "日本語 テキスト。", "🙂🙃 ok", "<|endoftext|> x",
+    "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "\n<|endoftext|>\n", "<|endoftext| >", "x" * 70 + " <|endoftext|> " + "y " * 70,
     "word " * 50, "a.b,c. d, e.\nf", "é.,É.", "²., ½, x², y.", "​ z ﻿",
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def ids(tokenizer, text):
@@ -43,6 +42,12 @@ def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer, monkeypatch):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids(tokenizer, text)
 
 
+def test_strings_of_special_tokens(tokenizer):
+    whole, plain = tokens.encoder(tokenizer_path()), tokens.encoder(tokenizer_path(), plain=True)
+    assert np.frombuffer(whole.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    assert 50256 not in np.frombuffer(plain.encode("a <|endoftext|> b"), "<u4").tolist()
+
+
 @pytest.mark.parametrize("text", [" " * 300_000, "x" * 100_000, "\n" * 200_000 + "y", "🙂" * 20_000, "ab " * 100_000])
 def test_encoder_on_long_runs(tokenizer, text):
     assert np.frombuffer(tokens.encoder(tokenizer_path()).encode(text), "<u4").tolist() == ids(tokenizer, text)
