@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from chartspark.fixed_values import DEFAULT_GENRE, GENRE_RULES, GENRE_TAGS_READ, TAG_RULES
-from chartspark.functions.text import contains_any
+from chartspark.functions.rules import holds_one, is_one
 
 Rules = Sequence[tuple[str, Sequence[str]]]
 
@@ -33,12 +33,15 @@ def keyword_genre(
     read: int | None = GENRE_TAGS_READ,
     default: str | None = DEFAULT_GENRE,
 ) -> Column:
-    """Genre of the first tag (of the first ``read``) that contains a keyword; case matters."""
+    """Genre of the first tag (of the first ``read``) that contains a keyword; case matters.
+
+    A rule's keywords are one pattern, so the expression grows with the rules and not with the keywords.
+    """
     if read is not None:
         tags = F.slice(tags, 1, read)
-    return _first_label(tags, rules, contains_any, default)
+    return _first_label(tags, rules, holds_one, default)
 
 
 def tag_genre(tags: Column, rules: Rules = TAG_RULES, default: str | None = DEFAULT_GENRE) -> Column:
     """Genre of the first tag that equals a listed one."""
-    return _first_label(tags, rules, lambda tag, listed: tag.isin(*listed), default)
+    return _first_label(tags, rules, is_one, default)

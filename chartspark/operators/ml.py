@@ -1,17 +1,18 @@
 """Clusters and low-dimensional layouts of songs with Spark ML."""
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from chartspark.fixed_values import ELBOW_RANGE, ML_CLUSTERS, ML_FEATURES, ML_SEED
 from chartspark.functions.features import with_minmax
+from chartspark.operators.kmeans import kmeans
+from chartspark.operators.landmarks import with_landmark_components
 from chartspark.operators.quality import complete_rows
+from chartspark.sources.storage import materialise
 
 VECTOR = "_features"
 
@@ -43,7 +44,10 @@ def with_clusters(
 def with_components(
     vectors: DataFrame, n: int = 2, method: str = "pca", prefix: str = "Component_", vector: str = VECTOR
 ) -> DataFrame:
-    """Add the centred scores of the first principal components."""
+    """Add coordinates in n dimensions: the centred scores of the first principal components (``pca``), or places that
+    keep the distances to a bounded number of landmarks (``landmarks``)."""
+    if method == "landmarks":
+        return with_landmark_components(vectors, n, prefix, vector)
     if method != "pca":
         raise ValueError(f"unknown method: {method}")
     centre = StandardScaler(inputCol=vector, outputCol="_centred", withMean=True, withStd=False).fit(vectors)
@@ -61,31 +65,21 @@ def enhanced_songs(
     seed: int = ML_SEED,
     method: str = "pca",
 ) -> DataFrame:
-    """The songs with all features, their components and cluster."""
+    """The songs with all features, their components and cluster. Their vectors are stored once: the fits scan them."""
     vectors = scaled_vectors(songs, features)
+    held = materialise(vectors.withColumn(VECTOR, vector_to_array(VECTOR)))
+    vectors = held.withColumn(VECTOR, array_to_vector(VECTOR))
     return vectors.transform(with_components, n_components, method).transform(with_clusters, k, seed).drop(VECTOR)
 
 
 def elbow_curve(
-    vectors: DataFrame,
-    ks: Sequence[int] | None = None,
-    seed: int = ML_SEED,
-    vector: str = VECTOR,
-    parallelism: int = 4,
+    vectors: DataFrame, ks: Sequence[int] | None = None, seed: int = ML_SEED, vector: str = VECTOR
 ) -> DataFrame:
-    """Inertia for each number of clusters; the fits share one cached input and run ``parallelism`` at a time."""
+    """Inertia for each number of clusters. The vectors are stored once; a round scans them once for all numbers."""
     low, high = ELBOW_RANGE
-    ks = range(low, high + 1) if ks is None else ks
-    cached = vectors.select(vector).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def inertia(k: int) -> tuple[int, float]:
-        return k, KMeans(k=k, seed=seed, featuresCol=vector).fit(cached).summary.trainingCost
-
-    try:
-        with ThreadPool(parallelism) as pool:
-            curve = pool.map(inheritable_thread_target(vectors.sparkSession)(inertia), ks)
-    finally:
-        cached.unpersist()
+    ks = list(range(low, high + 1) if ks is None else ks)
+    stored = materialise(vectors.select(vector_to_array(vector).alias("v")))
+    curve = [(k, fit.inertia) for k, fit in kmeans(stored, ks, "v", seed).items()]
     return vectors.sparkSession.createDataFrame(curve, "k int, inertia double")
 
 

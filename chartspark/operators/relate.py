@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _same_keys(keys: Sequence[str]) -> Column:
+def same_keys(keys: Sequence[str]) -> Column:
     """Key equality in which NULL equals NULL."""
     return reduce(lambda a, b: a & b, [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys])
 
@@ -20,19 +20,19 @@ def unseen_keys(new: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFr
     """The distinct keys of ``new`` that ``known`` lacks. Both sides are made distinct before they meet."""
     left = new.select(*keys).distinct().alias("l")
     right = known.select(*keys).distinct().alias("r")
-    return left.join(right, _same_keys(keys), "left_anti")
+    return left.join(right, same_keys(keys), "left_anti")
 
 
 def unseen_rows(new: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``new`` whose key ``known`` lacks."""
     right = known.select(*keys).distinct().alias("r")
-    return new.alias("l").join(right, _same_keys(keys), "left_anti")
+    return new.alias("l").join(right, same_keys(keys), "left_anti")
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which NULL keys meet; every right row of a key gives a row."""
     added = [c for c in right.columns if c not in keys]
-    return left.alias("l").join(right.alias("r"), _same_keys(keys), "left").select(
+    return left.alias("l").join(right.alias("r"), same_keys(keys), "left").select(
         "l.*", *[F.col(f"r.`{c}`") for c in added]
     )
 

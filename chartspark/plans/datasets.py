@@ -17,8 +17,10 @@ from chartspark.functions.features import (
     with_audio_features,
     with_popularity_category,
 )
+from chartspark.operators import summary
 from chartspark.operators.rank import average_release_gap, first_row, sorted_rows
 from chartspark.operators.relate import enrich, lookup, one_per_key, unseen_keys
+from chartspark.operators.summary import Summary
 from chartspark.operators.unite import align, aligned_union
 from chartspark.schemas import CARRIED, FLAG_CARRIED, TOP_TRACK
 from chartspark.sources import landing
@@ -130,6 +132,24 @@ def _identified(artists: DataFrame) -> DataFrame:
     return artists.filter(F.col("genre") != DEFAULT_GENRE).select("artist", "genre")
 
 
+def song_summary(carried: Sequence[str] = CARRIED, order: Sequence[str] = ("source", "country", "rank")) -> Summary:
+    """What :func:`unique_songs` has to know of chart entries, by track and artist."""
+    return Summary(
+        ["track_id", "artist"],
+        {
+            "entries": summary.present("track_name"),
+            "best": summary.least("rank"),
+            "rank_sum": summary.total("rank"),
+            "rank_count": summary.present("rank"),
+            "first": summary.first(first_row(_from_entry(carried), order)),
+        },
+    )
+
+
+def _from_entry(carried: Sequence[str]) -> list[str]:
+    return ["country", *[c for c in carried if c not in ("artist", "country_code")]]
+
+
 def unique_songs(
     charts: DataFrame,
     artists: DataFrame,
@@ -143,22 +163,19 @@ def unique_songs(
     Tracks without an id fall into one row, unless ``drop_null_key``. The country code is looked up last, for
     the chosen entries only.
     """
-    from_entry = ["country", *[c for c in carried if c not in ("artist", "country_code")]]
     if drop_null_key:
         charts = charts.filter(F.col("track_id").isNotNull())
-    per_artist = (
-        charts.filter(F.col("artist").isNotNull())
-        .groupBy("track_id", "artist")
-        .agg(
-            F.count("track_name").alias("entries"),
-            F.min("rank").alias("best"),
-            F.sum("rank").alias("rank_sum"),
-            F.count("rank").alias("rank_count"),
-            first_row(from_entry, order).alias("first"),
-        )
-    )
+    per_artist = song_summary(carried, order).of(charts.filter(F.col("artist").isNotNull()))
+    return songs_of_summary(per_artist, artists, countries, carried)
+
+
+def songs_of_summary(
+    per_artist: DataFrame, artists: DataFrame, countries: DataFrame, carried: Sequence[str] = CARRIED
+) -> DataFrame:
+    """:func:`unique_songs` of the entries that a :func:`song_summary` was made of."""
     songs = (
-        per_artist.join(_identified(artists), "artist")
+        per_artist.filter(F.col("artist").isNotNull())
+        .join(_identified(artists), "artist")
         .groupBy("track_id")
         .agg(
             F.sum("entries").alias("num_countries"),
@@ -184,30 +201,33 @@ def song_countries(charts: DataFrame, artists: DataFrame) -> DataFrame:
     )
 
 
+GENRE_SUMMARY = Summary(
+    ["artist"],
+    {
+        **summary.spread("rank", "spotify_popularity", "lastfm_listeners"),
+        "best": summary.least("rank"),
+        "max_popularity": summary.most("spotify_popularity"),
+        "max_listeners": summary.most("lastfm_listeners"),
+        "on_b": summary.present("lastfm_popularity"),
+        "entries": summary.rows(),
+    },
+)
+
+
 def genres_performance(charts: DataFrame, artists: DataFrame) -> DataFrame:
     """Ranks, popularity, listeners and entries of each genre over both platforms."""
-    per_artist = (
-        charts.filter(F.col("artist").isNotNull())
-        .groupBy("artist")
-        .agg(
-            *[
-                measure(c).alias(f"{name}_{c}")
-                for c in ("rank", "spotify_popularity", "lastfm_listeners")
-                for name, measure in (("sum", F.sum), ("count", F.count))
-            ],
-            F.min("rank").alias("best"),
-            F.max("spotify_popularity").alias("max_popularity"),
-            F.max("lastfm_listeners").alias("max_listeners"),
-            F.count("lastfm_popularity").alias("on_b"),
-            F.count("*").alias("entries"),
-        )
-    )
+    return genres_of_summary(GENRE_SUMMARY.of(charts.filter(F.col("artist").isNotNull())), artists)
+
+
+def genres_of_summary(per_artist: DataFrame, artists: DataFrame) -> DataFrame:
+    """:func:`genres_performance` of the entries that a ``GENRE_SUMMARY`` was made of."""
 
     def average(c: str) -> Column:
         return F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}"))
 
     return (
-        per_artist.join(_identified(artists), "artist")
+        per_artist.filter(F.col("artist").isNotNull())
+        .join(_identified(artists), "artist")
         .groupBy("genre")
         .agg(
             average("rank").alias("avg_ranking"),
@@ -223,6 +243,17 @@ def genres_performance(charts: DataFrame, artists: DataFrame) -> DataFrame:
     )
 
 
+ARTIST_SUMMARY = Summary(
+    ["artist"],
+    {
+        "n_songs": summary.rows(),
+        **summary.spread("rank", "spotify_popularity"),
+        "best": summary.least("rank"),
+        "max_popularity": summary.most("spotify_popularity"),
+    },
+)
+
+
 def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     """Album and song measures of each artist that has both.
 
@@ -230,6 +261,11 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
     average, extreme or distinct count, and multiplies a sum by the other side's rows, so each side is
     aggregated alone and the pairs are never made.
     """
+    return artists_of_summary(albums, ARTIST_SUMMARY.of(songs.filter(F.col("artist").isNotNull())))
+
+
+def artists_of_summary(albums: DataFrame, per_artist: DataFrame) -> DataFrame:
+    """:func:`artists_performance` of the songs that an ``ARTIST_SUMMARY`` was made of."""
     albums = albums.filter(F.col("artist").isNotNull()).withColumn("release_date", to_partial_date(F.col("release_date")))
     # One pass: rows merge to one for each name first, in a hash aggregate of numbers only.
     measures = ("album_popularity", "total_tracks", "available_markets", "n_artists", "n_words_in_name")
@@ -256,17 +292,14 @@ def artists_performance(albums: DataFrame, songs: DataFrame) -> DataFrame:
         average("n_artists").alias("avg_n_artists"),
         average("n_words_in_name").alias("avg_words_in_album_name"),
     )
-    song_side = (
-        songs.filter(F.col("artist").isNotNull())
-        .groupBy("artist")
-        .agg(
-            F.count("*").alias("n_songs"),
-            F.sum("spotify_popularity").alias("song_popularity"),
-            F.avg("rank").alias("avg_song_rank"),
-            F.min("rank").alias("best_song_rank"),
-            F.avg("spotify_popularity").alias("avg_song_popularity_on_spotify"),
-            F.max("spotify_popularity").alias("max_song_popularity_on_spotify"),
-        )
+    song_side = per_artist.filter(F.col("artist").isNotNull()).select(
+        "artist",
+        "n_songs",
+        F.col("sum_spotify_popularity").alias("song_popularity"),
+        F.try_divide("sum_rank", "count_rank").alias("avg_song_rank"),
+        F.col("best").alias("best_song_rank"),
+        F.try_divide("sum_spotify_popularity", "count_spotify_popularity").alias("avg_song_popularity_on_spotify"),
+        F.col("max_popularity").alias("max_song_popularity_on_spotify"),
     )
     gaps = average_release_gap(albums, "artist", "release_date", "avg_months_between_releases")
     return (
@@ -304,6 +337,20 @@ def recent_songs(
     return sorted_rows(recent, F.desc("spotify_popularity"), *[c for c in ("country", "rank") if c in columns])
 
 
+def released_since(
+    chart: DataFrame, as_of: Column, days: int = VIRAL_DAYS, inclusive: bool = True, released: str = "release_date"
+) -> DataFrame:
+    """The rows released up to ``days`` before ``as_of``, with their age then.
+
+    The age is not read but made from the date, so a stored chart does not grow stale; and the filter is one on the date,
+    by which a chart that is clustered by it skips the files and row groups of older songs. The date of a song to come
+    counts as well, as its negative age does.
+    """
+    oldest = F.date_sub(as_of.cast("date"), days if inclusive else days - 1)
+    age = F.datediff(as_of.cast("date"), F.col(released))
+    return chart.filter(F.col(released) >= oldest).withColumn("track_age_days", age)
+
+
 def new_tracks_performance(chart: DataFrame, days: int = 30) -> DataFrame:
     return recent_songs(chart, days, False, ["track_name", "artist", "release_date", "spotify_popularity"])
 

@@ -15,10 +15,13 @@ from chartspark import schemas
 from chartspark.fixed_values import CHART_SIZE, ELBOW_RANGE, ML_CLUSTERS, ML_FEATURES, WHITESPACE
 from chartspark.functions import casts, features, text
 from chartspark.functions.classify import keyword_genre, tag_genre
-from chartspark.operators import ml, quality, rank, relate, unite
+from chartspark.functions.rules import rules_of
+from chartspark.operators import landmarks, ml, quality, rank, relate, unite
 from chartspark.plans import datasets, inputs
 from chartspark.plans.inputs import table
-from chartspark.sources import documents, landing, storage
+from chartspark.plans.to_date import DaySummaries
+from chartspark.sources import documents, landing, layout, quarantine, storage, versions
+from chartspark.streaming.index import index_stream
 from chartspark.streaming.ingest import append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -340,6 +343,42 @@ def tag_classify(spark, sf):
     )
 
 
+@query(f"""
+    SELECT p_partkey AS partkey, {inputs.rules_sql("string_split(p_name, ' ')", inputs.WORD_RULES)} AS genre,
+           {inputs.rules_sql("string_split(p_name, ' ')", inputs.WORD_RULES, exact=True)} AS listed FROM part""")
+def rules_as_data(spark, sf):
+    """Both classifiers by rules that are read from a table; thousands of keywords that no name has make no difference."""
+    rows = [(label, word, i) for i, (label, words) in enumerate(inputs.WORD_RULES) for word in words]
+    rare = [("Never", f"~{i:05}", len(rows) + i) for i in range(5000)]
+    rules = rules_of(spark.createDataFrame(rows + rare, "label string, keyword string, place int"))
+    words = F.split("p_name", " ")
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("partkey"), keyword_genre(words, rules).alias("genre"), tag_genre(words, rules).alias("listed")
+    )
+
+
+@query(f"""
+    WITH told AS (SELECT CASE WHEN p_partkey % 7 = 0 THEN 'malformed' WHEN p_partkey % 11 = 0 THEN 'mistyped'
+                              WHEN p_partkey % 13 = 0 THEN 'other content' WHEN p_partkey % 17 = 0 THEN 'missing' END AS problem
+                  FROM part)
+    SELECT problem, count(*) AS n, (SELECT count(*) FROM told WHERE problem IS NULL) AS sound FROM told
+    WHERE problem IS NOT NULL GROUP BY problem""")
+def quarantine_report(spark, sf):
+    """Answers of which some are cut off, have text for a number, tell of an error, or are missing."""
+    body = F.to_json(F.struct(F.array(F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_size").cast("double").alias("energy"))).alias("audio_features")))
+    key = F.col("p_partkey")
+    broken = (
+        F.when(key % 7 == 0, F.substring(body, 1, 20))
+        .when(key % 11 == 0, F.replace(body, F.lit('"energy":'), F.lit('"energy":"x",\"also\":')))
+        .when(key % 13 == 0, F.lit('{"error": {"status": 429}}'))
+        .when(key % 17 != 0, body)
+    )
+    payloads = table(spark, sf, "part").select(F.col("p_partkey").alias("partkey"), broken.alias("payload"))
+    checked = quarantine.examined(payloads, schemas.AUDIO_PAYLOAD, "audio_features")
+    sound = checked.agg(F.count_if(F.col(quarantine.PROBLEM).isNull())).scalar()
+    return quarantine.report(checked).select("problem", "n", sound.alias("sound"))
+
+
 _PART_FEATURES = {
     "energy": "p_size / 50", "danceability": "p_retailprice / 1000", "key": "p_size % 12", "loudness": "p_size * -1.0",
     "mode": "p_size % 2", "speechiness": "p_size / 100", "acousticness": "p_size / 10", "instrumentalness": "p_size / 20",
@@ -673,6 +712,29 @@ def incremental_append(spark, sf):
     return storage.read_table(spark, path, schema)
 
 
+@query("""
+    SELECT c_custkey AS custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || ' again' ELSE c_name END AS name,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 1 END AS fetched
+    FROM customer WHERE c_mktsegment <> 'MACHINERY'
+    UNION ALL
+    SELECT c_custkey, c_name || ' more', 2 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 0""")
+def keyed_upsert(spark, sf):
+    """Half of the customers, then the others, then new rows for one segment (some with two), none for another, and a retry."""
+    customers = table(spark, sf, "customer").withColumns({"custkey": F.col("c_custkey"), "name": F.col("c_name")})
+    path = storage.fresh_path(spark, "keyed")
+    storage.drop_at_exit(spark, path)
+    stored = versions.KeyedTable(spark, path, ["custkey"], "custkey bigint, name string, fetched int", buckets=16)
+    for rows in (customers.filter("c_acctbal >= 1000"), customers.filter("NOT c_acctbal >= 1000")):
+        stored.add(rows.withColumn("fetched", F.lit(1)))
+    wanted = customers.filter("c_mktsegment IN ('BUILDING', 'MACHINERY')")
+    found = wanted.filter("c_mktsegment = 'BUILDING'").withColumn("fetched", F.lit(2))
+    again = F.concat("name", F.lit(" again"))
+    more = found.filter("c_acctbal < 0").withColumn("name", F.concat("name", F.lit(" more")))
+    for _ in range(2):  # the second is a retry of the first
+        stored.replace(found.withColumn("name", again).unionByName(more), wanted, mark="refetch")
+    return stored.read()
+
+
 # --- Order within groups ----------------------------------------------------------------------------------
 
 
@@ -807,6 +869,36 @@ def artist_performance(spark, sf):
     )
 
 
+def _taken_in(spark, name: str, summary, rows: DataFrame) -> DataFrame:
+    """The summary of rows that were taken in as three days by their rank, one of them twice, the first two merged."""
+    path = storage.fresh_path(spark, name)
+    storage.drop_at_exit(spark, path)
+    days = DaySummaries(spark, path, summary)
+    for day, remainder in (("2024-01-01", 0), ("2024-01-02", 1), ("2024-01-03", 2), ("2024-01-02", 1)):
+        days.take_in(day, rows.filter(F.col("rank") % 3 == remainder))
+    days.merge_before("2024-01-03")
+    return days.merged()
+
+
+@query(ORACLES["unique_items"])
+def songs_to_date(spark, sf):
+    """Unique songs from the stored summaries of three days: the SQL knows nothing of days."""
+    per_artist = _taken_in(spark, "songs", datasets.song_summary(), _charts(spark, sf))
+    return comparable(datasets.songs_of_summary(per_artist, inputs.artists(spark, sf), _countries(spark, sf)), ["avg_rank"])
+
+
+@query(ORACLES["genre_performance"])
+def genres_to_date(spark, sf):
+    per_artist = _taken_in(spark, "genres", datasets.GENRE_SUMMARY, _charts(spark, sf))
+    return comparable(datasets.genres_of_summary(per_artist, inputs.artists(spark, sf)), _GENRE_AVERAGES)
+
+
+@query(ORACLES["artist_performance"])
+def artists_to_date(spark, sf):
+    per_artist = _taken_in(spark, "artists", datasets.ARTIST_SUMMARY, inputs.songs(spark, sf))
+    return comparable(datasets.artists_of_summary(inputs.albums(spark, sf), per_artist), _ARTIST_AVERAGES)
+
+
 _VIRAL_COLUMNS = ["country", "rank", "track_id", "track_name", "artist", "spotify_popularity", "track_age_days"]
 
 
@@ -829,6 +921,30 @@ def viral_tracks(spark, sf):
     return datasets.viral_tracks(inputs.formatted_a(spark, sf))
 
 
+@query(ORACLES["viral_songs"])
+def recent_by_date(spark, sf):
+    """Viral songs from a chart that is stored by release date and has no age: files of older songs are skipped."""
+    chart = layout.stored_clustered(inputs.formatted_a(spark, sf).drop("track_age_days"), "release_date", parts=8)
+    as_of = table(spark, sf, "lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).scalar()
+    recent = datasets.released_since(chart, as_of)
+    return rank.sorted_rows(recent.select(*_VIRAL_COLUMNS), F.desc("spotify_popularity"), "country", "rank")
+
+
+@query("""
+    SELECT o_custkey AS custkey, count(*) AS n_orders, max(c_name) AS name
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey""")
+def bucketed_join(spark, sf):
+    """Orders in buckets by customer: joined and counted without a shuffle of them."""
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey")
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"))
+    path = storage.fresh_path(spark, "bucketed")
+    storage.drop_at_exit(spark, path)
+    name = f"bucketed_{path.rsplit('-', 1)[1]}"
+    if layout.write_bucketed(orders, path, ["custkey"], 16, name):
+        orders = spark.table(name)
+    return orders.join(customers, "custkey").groupBy("custkey").agg(F.count("*").alias("n_orders"), F.max("name").alias("name"))
+
+
 _TOP_ORDER = ["rank", "track_id"]
 
 
@@ -981,6 +1097,68 @@ def publish_docs(spark, sf):
     )
 
 
+@query("""
+    SELECT event_id, event_type, true AS before, event_type <> 'error' AS after,
+           (SELECT count(*) FROM events) AS counted, (SELECT count(*) FILTER (user_id IS NULL) FROM events) AS nulls
+    FROM events""")
+def publish_versions(spark, sf):
+    """A reader that was opened before a second publication, and what the new one has; the counts are those of the write."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    root = storage.fresh_path(spark, "published")
+    storage.drop_at_exit(spark, root)
+    documents.publish({"events": events}, root, gate="events")
+    first = documents.open_published(spark, root)
+    documents.publish({"events": events.filter("event_type <> 'error'")}, root, gate="events", floor=0)
+    schema = "event_id bigint, event_type string"
+    before, after = first.read("events", schema), documents.open_published(spark, root).read("events", "event_id bigint")
+    seen = first.statistics("events")
+    return before.join(after.withColumn("after", F.lit(True)), "event_id", "left").select(
+        "event_id", "event_type", F.lit(True).alias("before"), F.coalesce("after", F.lit(False)).alias("after"),
+        F.lit(seen["rows"]).cast("bigint").alias("counted"), F.lit(seen["columns"]["user_id"]["nulls"]).cast("bigint").alias("nulls"),
+    )
+
+
+_MEASURED = ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls,
+           CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS most FROM lineitem""" for c in _MEASURED))
+def write_statistics(spark, sf):
+    """What a write has noted of the columns; the table is not read for it."""
+    path = storage.fresh_path(spark, "measured")
+    storage.drop_at_exit(spark, path)
+    stored = versions.PartedTable(spark, path)
+    stored.put("all", table(spark, sf, "lineitem").select(*_MEASURED))
+    seen = stored.statistics()["all"]
+    rows = [(c, seen["rows"], x["nulls"], x["least"], x["most"]) for c, x in seen["columns"].items()]
+    return spark.createDataFrame(rows, "column_name string, n_rows bigint, nulls bigint, least string, most string")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_index(spark, sf):
+    """Some events are published, the others are streamed to them; the last batch is run again, as after a crash."""
+    root, checkpoint = storage.fresh_path(spark, "published"), storage.fresh_path(spark, "stream")
+    for path in (root, checkpoint):
+        storage.drop_at_exit(spark, path)
+    errors = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", "user_id", "event_type", "value")
+    documents.publish({"events": errors}, root, gate="events", floor=0)
+
+    def others(batch: DataFrame) -> DataFrame:
+        return batch.filter("event_type <> 'error' OR event_type IS NULL").select("event_id", "user_id", "event_type", "value")
+
+    def run() -> int:
+        stream = index_stream(spark, f"{sf}/events.parque[t]", inputs.TABLES["events"], root, "events", checkpoint, transform=others)
+        stream.awaitTermination()
+        return stream.lastProgress["batchId"] if stream.lastProgress else 0
+
+    last = run()
+    storage.drop_now(spark, f"{checkpoint}/commits/{last}")  # the batch is there, but the stream does not know
+    run()
+    documents.merge_documents(spark, root, "events")
+    return documents.open_published(spark, root).read("events", "event_id bigint, user_id bigint, event_type string, value double")
+
+
 @query("SELECT event_id, user_id, event_type, value, true AS stamped FROM events")
 def stream_ingest(spark, sf):
     sink, checkpoint = storage.fresh_path(spark, "sink"), storage.fresh_path(spark, "stream")
@@ -1089,3 +1267,62 @@ def cluster_genre(spark, sf):
     profile = ml.cluster_profile(ml.enhanced_songs(songs))
     known = F.every(F.col("Cluster").between(0, ML_CLUSTERS - 1))
     return profile.groupBy("genre").agg(F.sum("n_songs").alias("n_songs"), known.alias("clustered"))
+
+
+# The results of the models themselves, which SQL cannot give; tests/test_ml.py compares the fits with plain versions.
+
+
+@query()
+def kmeans_rows(spark, sf):
+    """Each vector's cluster and its distance to the centre."""
+    model = ml.clusters(_vectors(spark, sf))
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    rows = model.transform(_vectors(spark, sf)).withColumn("v", vector_to_array(ml.VECTOR))
+    return rows.select("vec_id", "label", "Cluster", F.sqrt(_squared(F.col("v"), F.get(centres, F.col("Cluster")))).alias("distance"))
+
+
+@query()
+def pca_layout(spark, sf):
+    """The two components that a layout has."""
+    return ml.with_components(_vectors(spark, sf)).select("vec_id", "label", "Component_1", "Component_2")
+
+
+@query()
+def elbow_inertia(spark, sf):
+    """What each number of clusters leaves, and what it gains on one less."""
+    curve = ml.elbow_curve(_vectors(spark, sf))
+    before = curve.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
+    return curve.join(before, "k", "left").select("k", "inertia", (F.col("before") - F.col("inertia")).alias("gain"))
+
+
+@query()
+def cluster_profile(spark, sf):
+    """Songs and average place of each cluster and genre."""
+    songs = storage.materialise(_songs(spark, sf, drop_null_key=True))
+    return ml.cluster_profile(ml.enhanced_songs(songs))
+
+
+@query("""
+    WITH parts AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    marks AS (SELECT row_number() OVER (ORDER BY vec_id) AS landmark, vec_id AS mark_id
+              FROM (SELECT min(vec_id) AS vec_id FROM embeddings GROUP BY label) ORDER BY vec_id LIMIT 6),
+    squares AS (
+        SELECT p.vec_id, landmark, sum((CAST(p.x AS DOUBLE) - m.x) * (CAST(p.x AS DOUBLE) - m.x)) AS square
+        FROM parts p JOIN (SELECT landmark, x, i FROM marks JOIN parts ON mark_id = vec_id) m USING (i) GROUP BY ALL)
+    SELECT s.vec_id, CAST(s.landmark AS INTEGER) AS landmark, round(s.square - f.square, 4) + 0.0 AS farther
+    FROM squares s JOIN squares f ON s.vec_id = f.vec_id AND f.landmark = 1""")
+def landmark_layout(spark, sf):
+    """By how much a vector is farther (in squares) from a landmark than from the first, measured in the layout: as many
+    dimensions as the landmarks have keep that for every vector. The landmarks are the first vectors of some labels."""
+    vectors = _vectors(spark, sf)
+    marks = vectors.withColumn("v", vector_to_array(ml.VECTOR)).groupBy("label").agg(F.min(F.struct("vec_id", "v")).alias("m"))
+    points = [r.m.v for r in marks.orderBy("m.vec_id").limit(6).collect()]
+    n = len(points) - 1
+    placed = landmarks.with_landmark_components(vectors, n, "at_", ml.VECTOR, points)
+    positions, _, _ = landmarks.layout(landmarks.np.array(points), n)
+    at = F.array(*[F.col(f"at_{i + 1}") for i in range(n)])
+    squares = F.array(*[_squared(at, F.array(*[F.lit(float(x)) for x in p])) for p in positions])
+    rows = placed.select("vec_id", squares.alias("squares")).select("vec_id", "squares", F.posexplode("squares").alias("i", "square"))
+    return rows.select(
+        "vec_id", (F.col("i") + 1).alias("landmark"), (F.round(F.col("square") - F.col("squares")[0], 4) + 0.0).alias("farther")
+    )

@@ -20,7 +20,10 @@ def country_table(spark: SparkSession) -> DataFrame:
 
 
 def parsed(payloads: DataFrame, schema: str) -> DataFrame:
-    """The fields of the schema in place of the JSON text; NULL for what is not there or does not fit."""
+    """The fields of the schema in place of the JSON text; NULL for what is not there or does not fit. Payloads that have
+    been parsed (see :mod:`chartspark.sources.quarantine`) are as they are."""
+    if payloads.schema["payload"].dataType.typeName() == "struct":
+        return payloads
     return payloads.withColumn("payload", F.from_json("payload", schema))
 
 

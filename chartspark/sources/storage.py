@@ -2,7 +2,6 @@
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
@@ -76,13 +75,8 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("_ string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,0 +1,115 @@
+"""Payloads that cannot be read, and rules as data."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import golden
+from chartspark.functions.classify import keyword_genre, tag_genre
+from chartspark.functions.rules import alternation, holds_one, is_one, rules_of
+from chartspark.plans import stages
+from chartspark.plans.stages import Lake
+from chartspark.sources import quarantine
+
+SCHEMA = "items array<struct<id: string, n: bigint>>"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+PAYLOADS = [
+    (1, '{"items": [{"id": "a", "n": 1}]}', None),
+    (2, '{"items": []}', None),
+    (3, None, "missing"),
+    (4, " \n", "missing"),
+    (5, '{"items": [{"id": "a"', "malformed"),
+    (6, "<html>", "malformed"),
+    (7, '{"items": [{"id": "a", "n": "x"}]}', "mistyped"),
+    (8, '{"error": 429}', "other content"),
+    (9, '{"items": null}', "other content"),
+]
+
+
+def test_every_problem_has_its_reason(spark):
+    frame = spark.createDataFrame([(k, p) for k, p, _ in PAYLOADS], "key int, payload string")
+    checked = quarantine.examined(frame, SCHEMA, "items")
+    assert rows(checked.select("key", "problem")) == [(k, w) for k, _, w in PAYLOADS]
+    apart = quarantine.set_apart(checked, ["key"])
+    assert rows(apart) == sorted(((k, w, p) for k, p, w in PAYLOADS if w), key=repr)
+    assert rows(quarantine.report(checked)) == [("malformed", 2), ("missing", 2), ("mistyped", 1), ("other content", 2)]
+    assert {r.key for r in quarantine.answers(checked).collect()} == {1, 2, 7, 8, 9}
+    counted, seen = quarantine.counted(checked)
+    counted.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"payloads": 9, "missing": 2, "malformed": 2, "mistyped": 1, "other content": 2}
+
+
+def test_landing_sets_apart_what_it_cannot_read(spark, tmp_path):
+    lake, payloads = Lake(spark, str(tmp_path / "lake")), golden.payloads(spark)
+    assert stages.land_chart_a(lake, payloads) == {"chart_a": {}, "features": {}}
+    sound = rows(lake.read(stages.RAW_A))
+    assert not (tmp_path / "lake" / "quarantine").exists()
+    more = spark.createDataFrame([("Spain", '{"items": [{"tra'), ("Italy", None)], "country string, payload string")
+    payloads.chart_a = payloads.chart_a.unionByName(more)
+    assert stages.land_chart_a(lake, payloads) == {"chart_a": {"malformed": 1, "missing": 1}, "features": {}}
+    assert rows(lake.read(stages.RAW_A)) == sound
+    apart = spark.read.parquet(f"{lake.root}/quarantine/chart_a")
+    assert rows(apart.select("country", "problem")) == [("Italy", "missing"), ("Spain", "malformed")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_patterns_find_what_contains_finds(spark, seed):
+    pick = random.Random(seed)
+    letters = ["a", "b", "é", ".", "*", "(", "\\", "|", "^", "$", " ", "[", "]", "{", "+", "?", "🙂", "-", "\n"]
+    words = sorted({"".join(pick.choices(letters, k=pick.randrange(1, 5))) for _ in range(60)})
+    texts = ["".join(pick.choices(letters, k=pick.randrange(9))) for _ in range(300)] + words
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    found = frame.select("t", holds_one(F.col("t"), words).alias("holds"), is_one(F.col("t"), words).alias("is")).collect()
+    for r in found:
+        expected = (None, None) if r.t is None else (any(w in r.t for w in words), r.t in words)
+        assert (r.holds, r["is"]) == expected, r.t
+
+
+def plain_genre(tags, rules, test):
+    for tag in tags:
+        for label, words in rules:
+            if any(test(w, tag) for w in words):
+                return label
+    return "Unidentified"
+
+
+def test_thousands_of_keywords(spark):
+    pick = random.Random(7)
+    word = lambda: "".join(pick.choices("abcdefgh", k=pick.randrange(3, 7)))
+    rules = [(f"g{i}", [word() for _ in range(500)]) for i in range(10)]
+    tags = [[word() + word() for _ in range(pick.randrange(4))] + pick.choices(rules[3][1], k=pick.randrange(2)) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(tags)), "i int, tags array<string>")
+    wide = frame.select("i", keyword_genre(F.col("tags"), rules, read=None).alias("a"), tag_genre(F.col("tags"), rules).alias("b"))
+    for r in wide.collect():
+        assert r.a == plain_genre(tags[r.i], rules, lambda w, t: w in t)
+        assert r.b == plain_genre(tags[r.i], rules, lambda w, t: w == t)
+    few = [(label, words[:5]) for label, words in rules]
+    narrow = frame.select("i", keyword_genre(F.col("tags"), few, read=None).alias("a"), tag_genre(F.col("tags"), few).alias("b"))
+
+    def size(df):
+        return df._jdf.queryExecution().analyzed().toString().upper().count("RLIKE")
+
+    assert size(wide) == size(narrow) > 0
+
+
+def test_rules_from_a_table(spark):
+    table = spark.createDataFrame(
+        [("Rock", "metal", 2), ("Pop", "disco", 1), ("Pop", "funk", 3), (None, "x", 0), ("Jazz", None, 0)], "label string, keyword string, place int")
+    assert rules_of(table) == [("Pop", ["disco", "funk"]), ("Rock", ["metal"])]
+    assert alternation(["ab", "ac", "a"]) == "a(?:b|c|)" and alternation([]) == ""
+
+
+def test_json_stays_what_it_was(spark):
+    """A payload that was parsed already goes through landing unchanged."""
+    from chartspark.sources import landing
+
+    frame = spark.createDataFrame([(json.dumps({"items": [{"id": "a", "n": 1}]}),)], "payload string")
+    checked = quarantine.answers(quarantine.examined(frame, SCHEMA, "items"))
+    assert landing.parsed(checked, SCHEMA).first().payload["items"][0].n == 1

@@ -15,7 +15,7 @@ from chartspark import schemas
 from chartspark.operators.quality import IncompleteData
 from chartspark.plans import datasets, stages
 from chartspark.plans.stages import Lake
-from chartspark.sources import documents, landing, storage
+from chartspark.sources import documents, landing, storage, versions
 
 AS_OF = date(2022, 5, 10)
 
@@ -40,7 +40,10 @@ def rows(df):
 
 @pytest.mark.parametrize("name", list(stages.SCHEMAS))
 def test_products_have_their_schema(lake, spark, name):
-    found = dict(spark.read.parquet(f"{lake.root}/{name}").dtypes)
+    folders = [f"{lake.root}/{name}"]
+    if name in stages.KEYED:  # in folders of versions
+        folders = [f"{lake.root}/{name}/{p}" for parts in lake.keyed(name).log.latest().parts.values() for p in parts]
+    found = dict(spark.read.parquet(*folders).dtypes)
     expected = dict(spark.createDataFrame([], stages.SCHEMAS[name]).dtypes)
     assert found == expected
 
@@ -135,9 +138,9 @@ def test_publish(lake, spark, tmp_path):
     with pytest.raises(IncompleteData):
         stages.publish(lake, str(tmp_path / "docs"))
     assert not (tmp_path / "docs").exists()
-    for _ in range(2):
+    for _ in range(5):
         stages.publish(lake, str(tmp_path / "docs"), floor=12)
-    assert len(list((tmp_path / "docs").glob("*/all_top_charts"))) == 1  # the run before is gone
+    assert len(list((tmp_path / "docs").glob("data/*/all_top_charts"))) == versions.RETAINED  # older ones are gone
     path = documents.published_path(spark, str(tmp_path / "docs"), "all_top_charts")
     docs = [json.loads(r.value) for r in spark.read.text(path).collect()]
     assert len(docs) == 12
@@ -187,7 +190,7 @@ def test_run_from_end_to_end(spark, tmp_path):
     songs = lake.read(stages.SONGS_ML)
     assert songs.count() == 9
     assert {"Component_1", "Component_2", "Cluster"} <= set(songs.columns)
-    assert len(list((tmp_path / "docs").glob("*/*/_SUCCESS"))) == len(stages.PUBLISHED)
+    assert len(list((tmp_path / "docs").glob("data/*/*/_SUCCESS"))) == len(stages.PUBLISHED)
 
 
 def test_refresh_stops_when_nothing_is_new(lake, spark):
@@ -238,3 +241,83 @@ spark.stop()
 """
     subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=120)
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_artists_fetched_again_are_replaced(spark, lake, tmp_path):
+    copy = Lake(spark, str(tmp_path / "lake"), buckets=8)
+    for name in (stages.CHART_A, stages.CHART_B):
+        copy.write(lake.read(name), name)
+    payloads = golden.payloads(spark)
+    stages.augment(copy, payloads)
+    artists, albums = rows(copy.read(stages.ARTISTS)), rows(copy.read(stages.ALBUMS))
+    before = copy.keyed(stages.ARTISTS).log.latest().parts
+    hit = {"artists": {"items": [{"id": "new id", "genres": ["jazz"]}]}}
+    payloads.artist_searches = spark.createDataFrame([("Alice", json.dumps(hit))], "artist string, payload string")
+    for _ in range(2):  # the second time changes nothing
+        assert stages.augment(copy, payloads, stages.Options(refetch=["Alice"]))[0] == 1
+        found = {r.artist: (r.artist_id, r.genre) for r in copy.read(stages.ARTISTS).collect()}
+        assert found["Alice"] == ("new id", "Jazz") and len(found) == len(artists)
+        assert len(rows(copy.read(stages.ALBUMS))) == len(albums)
+    after = copy.keyed(stages.ARTISTS).log.latest().parts
+    assert sum(before[b] != after[b] for b in before) == 1  # one bucket was written again
+
+
+def test_albums_of_a_broken_off_run_are_not_added_twice(spark, lake, tmp_path, monkeypatch):
+    copy, payloads = Lake(spark, str(tmp_path / "lake")), golden.payloads(spark)
+    for name in (stages.CHART_A, stages.CHART_B):
+        copy.write(lake.read(name), name)
+    with monkeypatch.context() as broken:
+        broken.setattr(versions.KeyedTable, "add", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stages.augment(copy, payloads)
+    assert copy.read(stages.ALBUMS).count() == 4 and copy.read(stages.ARTISTS).count() == 0
+    assert stages.augment(copy, payloads) == (8, 4)
+    assert copy.read(stages.ALBUMS).count() == 4
+
+
+def nine_songs(spark):
+    payloads = golden.payloads(spark)
+    features = {f"n{i}": dict(energy=i / 10, danceability=0.5, loudness=-i * 1.0, tempo=100.0 + i) for i in range(9)}
+    payloads.chart_a = spark.createDataFrame(
+        [("Spain", json.dumps({"items": [{"track": golden.track(k, k, "Alice")} for k in features]}))], "country string, payload string")
+    payloads.features = spark.createDataFrame(
+        [(json.dumps({"audio_features": [golden.feature(k, v) for k, v in features.items()]}),)], "payload string")
+    return payloads
+
+
+def test_a_run_that_broke_off_goes_on_where_it_broke(spark, tmp_path, monkeypatch):
+    lake, payloads, docs = Lake(spark, str(tmp_path / "lake")), nine_songs(spark), str(tmp_path / "docs")
+
+    def run(run_id="monday"):
+        return stages.run(lake, payloads, docs, F.lit(AS_OF), floor=9, run_id=run_id, day="2022-05-10")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(stages, "enhance_songs", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    journal = run()
+    assert journal.skipped == ["land_chart_a", "land_chart_b", "enrich_chart_b", "format_charts", "augment", "combine", "combine_to_date"]
+    assert journal.done == ["enhance_songs", "publish"]
+    number = documents.open_published(spark, docs).version.number
+    assert run().done == [] and documents.open_published(spark, docs).version.number == number
+    # somebody writes a table: what is made from it is made again
+    lake.write(lake.read(stages.RAW_B).limit(1), stages.RAW_B)
+    again = run().done
+    assert again[0] == "land_chart_b" and "combine" in again and "land_chart_a" not in again
+    assert run("tuesday").skipped == []
+
+
+def test_datasets_over_all_days(spark, lake, tmp_path):
+    """Two days whose charts are the halves of one: the datasets to date are those over the whole."""
+    copy, whole = Lake(spark, str(tmp_path / "lake")), {}
+    for name in (stages.ARTISTS, stages.ALBUMS):
+        copy.keyed(name).add(lake.read(name))
+    for half in (0, 1):
+        for name in (stages.CHART_A, stages.CHART_B):
+            copy.write(lake.read(name).filter(F.col("rank") % 2 == half), name)
+        stages.combine_to_date(copy, f"2022-05-{10 + half}")
+    for name in ("unique_songs", "genres_performance", "artists_performance"):
+        whole[name] = rows(lake.read(f"combined/{name}"))
+        assert rows(copy.read(f"combined/{name}_to_date")) == whole[name]
+    stages.combine_to_date(copy, "2022-05-11")  # a day again
+    assert rows(copy.read("combined/unique_songs_to_date")) == whole["unique_songs"]
