@@ -120,7 +120,55 @@ def test_nothing_to_learn_from(spark):
     assert langid.language(docs(spark, [])).count() == 0
 
 
-def test_long_words():
-    long = "a" * 500 + "b"
-    assert langid.features([long, "ab"]).shape[0] == 2
+@pytest.mark.parametrize("labels", [2, 40])
+def test_shares_along_the_texts(monkeypatch, labels):
+    """The way taken with many labels gives what the pieces give."""
+    made = np.random.default_rng(3)
+    lengths = np.array([1, 400, 7, 130, 64])
+    scores, moves = made.normal(size=(lengths.sum(), labels)) * 2, made.normal(size=(labels, labels))
+    monkeypatch.setattr(langid, "FEW_LABELS", 100)
+    expected = langid.label_shares(scores, lengths, moves)
+    monkeypatch.setattr(langid, "FEW_LABELS", 1)
+    for found, wanted in zip(langid.label_shares(scores, lengths, moves), expected, strict=True):
+        np.testing.assert_allclose(found, wanted, atol=1e-8)
+
+
+def test_long_words_are_read_whole():
+    pick = random.Random(5)
+    one, other = ("a" * 30 + "".join(pick.choices("bcdefg", k=35)) + "z" * 16 for _ in range(2))
+    parts = [langid.words_of(w) for w in (one, other)]
+    assert all("".join(p).replace("\0", "") == w for p, w in zip(parts, (one, other), strict=True))
+    assert not np.array_equal(langid.features(parts[0]), langid.features(parts[1]))
     assert (langid.features(["ab", "x" * 20])[0] >= 0).sum() == (langid.features(["ab"])[0] >= 0).sum()
+    sentence = "これは空白のない長い文であり最後まで読まれる" * 20
+    assert "".join(langid.words_of(sentence)).replace("\0", "") == sentence
+    assert langid.words_of(langid._written(langid.words_of(f"ab {sentence} cd"))) == langid.words_of(f"ab {sentence} cd")
+
+
+def test_marks_are_part_of_words():
+    assert langid.words_of("हिन्दी भाषा, ที่นี่ e\u0301te\u0301 ²½ 12") == ["हिन्दी", "भाषा", "ที่นี่", "e\u0301te\u0301"]
+    assert langid.words_of("\u0301 12") == []
+
+
+def test_indic_and_thai_text(spark):
+    """Two languages whose words differ in their vowel signs alone, and two without spaces that differ in the middle."""
+    pick = random.Random(6)
+    signs = {"xx": "ािी", "yy": "ेैो"}
+    rows = [(i, " ".join("कखग"[pick.randrange(3)] + pick.choice(signs[x]) for _ in range(20)), x, "") for i, x in enumerate(["xx", "yy"] * 60)]
+    thai = {"t1": "กขค", "t2": "งจฉ"}
+    rows += [(500 + i, "ม" * 30 + "".join(pick.choices(thai[x], k=40)) + "ม" * 20, x, "") for i, x in enumerate(["t1", "t2"] * 60)]
+    found = [r for r in langid.language(docs(spark, rows)).collect() if r.held_out]
+    truth = {r[0]: r[2] for r in rows}
+    assert len(found) > 30 and all(r.lang_pred == truth[r.key] for r in found)
+
+
+def test_many_languages(spark):
+    """No language is too rare to be learnt."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for i in range(300):
+        word = "".join(random.Random(i).choices(letters, k=6))
+        rows += [(i * 20 + k, f"{word} {word[::-1]} {word[:3]} {word}", f"l{i:03}", "") for k in range(12)]
+    found = [r for r in langid.language(docs(spark, rows)).collect() if r.held_out]
+    right = np.mean([r.lang_pred == f"l{r.key // 20:03}" for r in found])
+    assert len({r.lang_pred for r in found}) > 250 and right > 0.9
