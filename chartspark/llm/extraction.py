@@ -1,5 +1,6 @@
 """Main text of web pages by composite text density."""
 
+import bisect
 import heapq
 import html
 import math
@@ -63,11 +64,9 @@ ENDS_P = {
     "pre", "section", "table", "ul",
 }
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: The rest of a tag. Nothing of it is tried twice: a quote without an end is a character like others.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*')?+)*+""")
 _ATTRIBUTES = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAMING = {"class", "id", "role"}
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -78,10 +77,14 @@ _SPACES = re.compile(r"\s+")
 class Node:
     """An element; its children are nodes and texts in page order."""
 
-    __slots__ = ("name", "parent", "children", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "marked", "depth", "block", "article", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, parent: "Node | None", marked: int = 0):
         self.name, self.parent, self.children, self.marked = name, parent, [], marked
+        self.depth = parent.depth + 1 if parent else 0
+        # the innermost block and article around the node, or the node itself
+        self.block = parent.block if parent and name in INLINE else self
+        self.article = self if name in ARTICLES else parent.article if parent else None
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -89,7 +92,7 @@ class Node:
 def _marked(name: str, attributes: str, parent: Node) -> int:
     if name == "form":
         return FOR_GOOD if attributes and _HIDDEN.search(attributes) else BY_WORD
-    if name in DROPPED or (name == "header" and not _in_article(parent)):
+    if name in DROPPED or (name == "header" and parent.article is None):
         return FOR_GOOD
     if not attributes:
         return 0
@@ -107,7 +110,7 @@ def _marked(name: str, attributes: str, parent: Node) -> int:
             found = {*parts, *map("".join, zip(parts, parts[1:]))}
             if not OTHER_ARTICLES.isdisjoint(found) or token.lower() in marks:
                 return BY_OTHER
-            if not marks.isdisjoint(found) or not (heads.isdisjoint(found) or _in_article(parent)):
+            if not marks.isdisjoint(found) or not (heads.isdisjoint(found) or parent.article is not None):
                 marked = BY_WORD
     return marked
 
@@ -165,20 +168,9 @@ def _restore(root: Node) -> None:
             opened.append(node)
 
 
-def _in_article(node: Node | None) -> bool:
-    return _article(node) is not None
-
-
-def _article(node: Node | None) -> Node | None:
-    """The innermost article around a node, or the node itself."""
-    while node is not None and node.name not in ARTICLES:
-        node = node.parent
-    return node
-
-
 def _whole_article(node: Node) -> Node | None:
     """The innermost article around a node; the main element around that if it holds no other article."""
-    article = _article(node)
+    article = node.article
     main = article
     while main is not None and main.name != "main":
         main = main.parent
@@ -188,33 +180,88 @@ def _whole_article(node: Node) -> Node | None:
     return main if articles == [article] else article
 
 
+class _Open:
+    """The open elements of a page, from the root to ``node``, and those of each name."""
+
+    def __init__(self, root: Node):
+        self.node, self.named = root, {}
+
+    def open(self, child: Node) -> None:
+        self.named.setdefault(child.name, []).append(child)
+        self.node = child
+
+    def close_to(self, node: Node) -> None:
+        """Close all elements inside ``node``."""
+        while self.node is not node:
+            self.named[self.node.name].pop()
+            self.node = self.node.parent
+
+    def end(self, name: str) -> None:
+        """An end tag. One without a beginning is ignored; inside a block it does not reach beyond it for inline elements
+        and paragraphs."""
+        found = self.named.get(name)
+        if not found:
+            return
+        block = self.node.block
+        if found[-1].depth < block.depth and (name in INLINE or name == "p"):
+            return
+        self.close_to(found[-1].parent)
+
+    def before(self, name: str) -> None:
+        """Close what an opening tag ends."""
+        if name in ENDS_P:
+            block = self.node.block
+            if block.name == "p":
+                self.close_to(block.parent)
+            elif block is not self.node:
+                self.close_to(block)  # a block does not stand in inline elements left open in an earlier block
+        if name in ENDS:
+            names, limits = ENDS[name]
+            limit = max((self.named[n][-1].depth for n in limits if self.named.get(n)), default=0)
+            ended = [found[i] for n in names if (found := self.named.get(n)) and (i := _beyond(found, limit)) < len(found)]
+            if ended:
+                self.close_to(min(ended, key=lambda n: n.depth).parent)
+
+
+def _beyond(nodes: list[Node], depth: int) -> int:
+    """The place of the first of the nodes, one inside another, that is deeper than ``depth``."""
+    return bisect.bisect_right(nodes, depth, key=lambda n: n.depth)
+
+
 def parse(page: str) -> Node:
-    """The page's tree. Missing ends are supplied, ends without a beginning ignored, raw elements kept as one text."""
-    root = node = Node("#page", None)
-    at, lowered = 0, None
-    search = _TAG.search
+    """The page's tree, in one pass. Missing ends are supplied, ends without a beginning ignored, raw elements kept as one
+    text, and a tag that the page ends in is left out."""
+    root = Node("#page", None)
+    at, lowered, state = 0, None, _Open(root)
+    last = page.rfind(">")
     while True:
-        match = search(page, at)
+        match = _MARKUP.search(page, at)
         text = page[at : match.start()] if match else page[at:]
         if text:
-            node.children.append(text)
+            state.node.children.append(text)
         if not match:
             return root
         at = match.end()
         name = match[2]
         if name is None:
             if match[0].startswith("<![CDATA["):
-                node.children.append(html.escape(match[0][9:].removesuffix("]]>"), quote=False))
+                state.node.children.append(html.escape(match[0][9:].removesuffix("]]>"), quote=False))
             continue
-        name = name.lower()
+        rest = _REST.match(page, at)
+        if rest.end() == len(page):  # the page ends in the tag, unless a quote without an end has taken it so far
+            if at > last:
+                return root
+            end = page.find(">", at)
+        else:
+            end = rest.end()
+        attributes, at, name = page[at:end], end + 1, name.lower()
         if match[1]:
-            node = _closed(node, name)
+            state.end(name)
             continue
-        node = _before(node, name)
-        marked = _marked(name, match[3], node)
-        child = Node(name, node, marked)
-        node.children.append(child)
-        if name in VOID or (match[3].endswith("/") and name not in INLINE and name not in ENDS_P and name not in RAW):
+        state.before(name)
+        child = Node(name, state.node, _marked(name, attributes, state.node))
+        state.node.children.append(child)
+        if name in VOID or (attributes.endswith("/") and name not in INLINE and name not in ENDS_P and name not in RAW):
             continue
         if name in RAW:
             lowered = lowered if lowered is not None else page.lower()
@@ -223,7 +270,7 @@ def parse(page: str) -> Node:
             close = page.find(">", at)
             at = len(page) if close < 0 else close + 1
             continue
-        node = child
+        state.open(child)
 
 
 def _find_end(page: str, name: str, at: int) -> int:
@@ -231,42 +278,6 @@ def _find_end(page: str, name: str, at: int) -> int:
     return match.start() if match else -1
 
 
-def _closed(node: Node, name: str) -> Node:
-    """Where the page goes on after an end tag. An end inside a block does not reach beyond it for inline elements."""
-    at = node
-    while at.parent is not None:
-        if at.name == name:
-            return at.parent
-        if name in INLINE and at.name not in INLINE:
-            return node
-        if name == "p" and at.name not in INLINE:
-            return node
-        at = at.parent
-    return node
-
-
-def _before(node: Node, name: str) -> Node:
-    """The open element that gets a new one, after those that the new one ends."""
-    if name in ENDS_P:
-        at = node
-        while at.parent is not None and at.name in INLINE:
-            at = at.parent
-        if at.name == "p":
-            node = at.parent
-        elif at is not node and at.name not in INLINE:
-            node = at  # a block does not stand in inline elements left open in an earlier block
-    if name in ENDS:
-        names, limits = ENDS[name]
-        at = found = node
-        ended = False
-        while at.parent is not None and at.name not in limits:
-            if at.name in names:
-                found, ended = at.parent, True
-            at = at.parent
-        node = found if ended else node
-    return node
-
-
 def _measured(root: Node) -> list[Node]:
     """All nodes that count, parents first, with characters, tags and those of links. Marked ones are left out."""
     order, stack = [], [root]
@@ -312,8 +323,8 @@ def main_text(page: str) -> str:
     dense text stands together there, and the element with the largest sum is the main one. The smallest density on the
     path from it to the body is the threshold: other blocks next to that path which reach it, and headings before the main
     element, belong to the main text too. If the main element is part of an article element, that is the main text.
-    Elements that are marked as something else, by name or class, and blocks of links are left out throughout; a wrapper
-    of the main text that bears such a class is not (see :func:`_restore`).
+    Elements that are marked as something else, by name or class, are left out throughout, and blocks of links outside an
+    article; a wrapper of the main text that bears such a class is not (see :func:`_restore`).
     """
     root = parse(page)
     _restore(root)
@@ -336,11 +347,12 @@ def main_text(page: str) -> str:
         threshold, at = best.density, best
         while at is not body:
             at = at.parent
-            threshold = min(threshold, at.density)
+            if at is not body:
+                threshold = min(threshold, at.density)
         chosen = {id(best)}
         _choose(body, threshold, best, chosen)
     out: list[str] = []
-    _write(body, False, chosen, out)
+    _write(body, False, chosen, article, out)
     joined = (_SPACES.sub(" ", part).strip() for part in "".join(out).split("\0"))
     return " ".join(part for part in joined if part)
 
@@ -376,8 +388,9 @@ def _choose(body: Node, threshold: float, best: Node, chosen: set[int]) -> None:
                 chosen.add(id(child))
 
 
-def _write(root: Node, inside: bool, chosen: set[int], out: list[str]) -> None:
-    """The texts of the chosen elements in page order; blocks are set apart by a NUL, which no page text has."""
+def _write(root: Node, inside: bool, chosen: set[int], article: Node | None, out: list[str]) -> None:
+    """The texts of the chosen elements in page order; blocks are set apart by a NUL, which no page text has. Blocks of
+    links are left out but in an article, where lists of links are part of the text."""
     stack: list = [(root, inside, False)]
     while stack:
         item, inside, ended = stack.pop()
@@ -389,7 +402,7 @@ def _write(root: Node, inside: bool, chosen: set[int], out: list[str]) -> None:
         if ended:
             out.append("\0")
             continue
-        if item.marked or (item.name != "body" and block and _menu(item)):
+        if item.marked or (item.name != "body" and block and not (inside and article is not None) and _menu(item)):
             if block:
                 out.append("\0")
             continue

@@ -127,3 +127,78 @@ def test_marks_beside_the_text_stay():
         page = f"<body><article><p>{TEXT}</p></article>{marked.format('What a reader says. ' * 9)}</body>"
         assert extraction.main_text(page) == TEXT.strip()
     assert extraction.main_text(f"<body><p>{TEXT}</p><form><p>Your name, please.</p></form></body>") == TEXT.strip()
+
+
+def test_lists_of_links_inside_an_article_stay():
+    links = "".join(f"<li><a href=/{i}>Source {i}</a></li>" for i in range(5))
+    assert extraction.main_text(page(f"{MENU}<article><p>{TEXT}</p><ul>{links}</ul><p>{TEXT}</p></article>")) == (
+        f"{TEXT.strip()} {' '.join(f'Source {i}' for i in range(5))} {TEXT.strip()}"
+    )
+
+
+MEGABYTE = 1 << 20
+
+
+@pytest.mark.parametrize("text", [
+    "<a " * (MEGABYTE // 3), '<a "x ' * (MEGABYTE // 6), '<a b="x ' * (MEGABYTE // 8), "<header>" * (MEGABYTE // 8), "<p title='x>" * (MEGABYTE // 12),
+    "<div>" * 100_000 + "</zz>" * 100_000, "<i><div>" + "<b>" * 150_000 + "</i>" * 100_000, "<div>" * 60_000 + "<li>" * 100_000,
+    "<p>" * (MEGABYTE // 3), "<b><p>" * (MEGABYTE // 6), "<p " + "a= " * (MEGABYTE // 3) + ">", "<p " + " " * MEGABYTE + ">", "<!-" * (MEGABYTE // 3),
+    "<script>" * (MEGABYTE // 8), "</p>" * (MEGABYTE // 4), "<table><tr><td>" * (MEGABYTE // 15),
+])
+def test_time_does_not_grow_with_the_square_of_a_broken_page(text):
+    """Small parts of these pages took seconds when every open quote was looked for again; the limit is wide."""
+    import time
+
+    began = time.process_time()
+    extraction.main_text(text)
+    assert time.process_time() - began < 15
+
+
+def test_tags_as_they_are_written():
+    assert extraction.main_text("<p title='a > b'>one</p><p title=\"c > d\" x='>'>two</p><p data=a\"b>three</p>") == "one two three"
+    assert extraction.main_text("<p>it is</p><p title=\"never closed>so</p><p>what</p>") == "it is so what"
+    assert extraction.main_text("<p>whole</p><p class='") == "whole"
+
+
+def plain_density(tree):
+    """The sum over the children's densities, from the counts of each node alone, by walking the tree again for each."""
+    import math
+    import re
+
+    def nodes(node):
+        yield node
+        for c in node.children:
+            if not isinstance(c, str):
+                yield from nodes(c)
+
+    def chars(node):
+        return sum(len(re.sub(r"\s+", " ", c).strip()) if isinstance(c, str) else chars(c) for c in node.children)
+
+    def density(node, page_ratio):
+        size, tags = chars(node), max(1, sum(1 for _ in nodes(node)) - 1)
+        links = [n for n in nodes(node) if n.name == "a"]
+        link_size, link_tags = sum(map(chars, links)), max(1, len(links))
+        if not size:
+            return 0.0
+        base = math.log(size / max(1, size - link_size) * link_size + page_ratio * size + math.e)
+        return size / tags * max(0.0, math.log(size / max(1, link_size) * tags / link_tags) / math.log(base) if base > 1 else math.log(size / max(1, link_size) * tags / link_tags))
+
+    ratio = sum(map(chars, [n for n in nodes(tree) if n.name == "a"])) / max(1, chars(tree))
+    return {id(n): density(n, ratio) for n in nodes(tree)}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_density_from_the_definition(seed):
+    pick = random.Random(seed)
+
+    def block(depth):
+        inner = "".join(pick.choice([SENTENCE[: pick.randrange(70)], "<a href=/x>link it</a>", "<b>bo</b>", "<br>"]) for _ in range(pick.randrange(5)))
+        return f"<div>{inner}{''.join(block(depth - 1) for _ in range(pick.randrange(3)) if depth)}</div>"
+
+    body = extraction.parse(block(4) + block(3))
+    expected = plain_density(body)
+    order = extraction._measured(body)
+    ratio = body.link_chars / body.chars if body.chars else 0.0
+    assert {id(n) for n in order} == set(expected)
+    for node in order:
+        assert extraction._density(node, ratio) == pytest.approx(expected[id(node)])
