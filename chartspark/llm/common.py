@@ -34,16 +34,33 @@ def numbered(docs: DataFrame, *columns: Column, row: str | None = None) -> DataF
     """The columns and ``row``, a number for every row of a stored table.
 
     The number follows from the file split and the place in it, so a task that is run again gives the same numbers; a
-    later read can be split in another way, and gives others. Where rows have to be found again, they are stored with
-    their numbers first (:func:`stored_rows`), and ``row`` is the column that has them. A frame whose row order can
+    later read can be split in another way, and gives others. Where rows have to be found again, they are given numbers
+    that stay first (:func:`stored_rows`), and ``row`` is the column that has them. A frame whose row order can
     change (after a shuffle) has to be stored before.
     """
     return docs.select((F.monotonically_increasing_id() if row is None else F.col(row)).alias("row"), *columns)
 
 
+#: Bits of a row number that are the row's place in its file.
+PLACE_BITS = 28
+
+
 def stored_rows(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows of a stored table, written once more with a number each, and the name of the column that has it."""
+    """The rows of a stored table with a number each, and the name of the column that has it.
+
+    A table that is read as it is gets its numbers from the files' names and the rows' places in them, which no split of
+    the files changes, so nothing is written. Other frames are written once more, with numbers.
+    """
     number = unused(docs, "_row")
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+        sizes = docs.groupBy(file.alias("file")).agg(F.max(place).alias("last"))
+        if not sizes.filter(F.col("last") >= 1 << PLACE_BITS).limit(1).count():
+            for seed in range(8):
+                name = F.pmod(F.xxhash64(F.lit(seed), file), F.lit(1 << 63 - PLACE_BITS))
+                of_file = sizes.select(F.pmod(F.xxhash64(F.lit(seed), "file"), F.lit(1 << 63 - PLACE_BITS)).alias("name"))
+                if not of_file.groupBy("name").count().filter("count > 1").limit(1).count():  # no two files have a name
+                    return docs.withColumn(number, name * (1 << PLACE_BITS) + place), number
     return materialise(docs.withColumn(number, F.monotonically_increasing_id())), number
 
 

@@ -37,10 +37,12 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     after all others. ``docs`` is a stored table.
 
     Returns row, key, text (what is left), n_lines, removed (array of the places of the removed lines, from 0), one row
-    for every row of ``docs``. Texts are stored once with their numbers, by which they are found again. Hot windows are counted before the shuffle; the look-up that marks the repeats joins two
-    stored tables, so that adaptive execution splits a window that very many documents share.
+    for every row of ``docs``. Rows are found again by numbers that stay (see
+    :func:`~chartspark.llm.common.stored_rows`). Hot windows are counted before the shuffle; the look-up that marks the
+    repeats joins two stored tables, so that adaptive execution splits a window that very many documents share.
     """
-    docs, number = stored_rows(docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text")))
+    docs, number = stored_rows(docs)
+    docs = docs.select(F.col(key).alias("key"), whole(F.col(text)).alias("text"), number)
     windows = materialise(window_names(docs, "key", "text", size, number))
     place = F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "pos")
     repeated = materialise(

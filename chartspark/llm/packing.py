@@ -95,8 +95,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
     return bins, offsets
 
 
-def _packed(shards: DataFrame, capacity: int) -> DataFrame:
-    """(shard, item, length) with the place of each item: shard, item, length, bin, offset."""
+def _packed(shards: DataFrame, tasks: int, capacity: int) -> DataFrame:
+    """(shard, item, length) with the place of each item: shard, item, length, bin, offset. A shard is many rows of few
+    bytes, so the number of tasks is given: by their bytes shards would be merged into a few."""
 
     ship_package(shards.sparkSession)
 
@@ -105,11 +106,13 @@ def _packed(shards: DataFrame, capacity: int) -> DataFrame:
         bins, offsets = sum_of_squares(rows["length"].to_numpy(), capacity)
         return rows.assign(bin=bins, offset=offsets)
 
-    return shards.groupBy("shard").applyInPandas(pack, "shard long, item long, length long, bin long, offset long")
+    return shards.repartition(tasks, "shard").groupBy("shard").applyInPandas(pack, "shard long, item long, length long, bin long, offset long")
 
 
-def _dealt(items: DataFrame, n: int, shard: int) -> DataFrame:
-    return items.select(F.pmod(F.xxhash64("item"), F.lit(max(1, -(-n // shard)))).alias("shard"), "item", "length")
+def _dealt(items: DataFrame, n: int, shard: int) -> tuple[DataFrame, int]:
+    """The items with a shard each, and the number of shards."""
+    shards = max(1, -(-n // shard))
+    return items.select(F.pmod(F.xxhash64("item"), F.lit(shards)).alias("shard"), "item", "length"), shards
 
 
 def best_fit_packing(
@@ -134,12 +137,12 @@ def best_fit_packing(
     pieces = materialise(pieces_of(docs, tokenizer, key, text, capacity))
     part = F.col("length") < capacity
     items = pieces.filter(part).select(F.col("row").alias("item"), "length")
-    packed = materialise(_packed(_dealt(items, items.count(), shard), capacity))
+    packed = materialise(_packed(*_dealt(items, items.count(), shard), capacity))
     # a sequence of the first round is (shard, bin)
     number = F.col("shard") * (1 << 31) + F.col("bin")
     filled = packed.groupBy(number.alias("item")).agg(F.sum("length").alias("length"))
     again = materialise(filled.filter(F.col("length") <= capacity * (1 - ROOM)))
-    moved = _packed(_dealt(again, again.count(), shard), capacity).select(
+    moved = _packed(*_dealt(again, again.count(), shard), capacity).select(
         F.col("item").alias("first"), "shard", "bin", F.col("offset").alias("shift")
     )
     placed = (

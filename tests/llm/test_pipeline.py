@@ -109,3 +109,20 @@ def test_files_are_split_in_another_way_later(spark, tmp_path, other_splits, sta
     kept = stage(spark, spark.read.parquet(str(tmp_path / "docs")), FOLDER)
     other_splits()
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 160, 2))
+
+
+def test_rows_of_a_stored_table_are_numbered_without_writing_them(spark, tmp_path, other_splits):
+    from chartspark.llm.common import stored_rows
+
+    path = str(tmp_path / "docs")
+    spark.range(500).selectExpr("id AS doc_id", "repeat('x', 100) AS _ROW").repartition(4).write.parquet(path)
+    table = spark.read.parquet(path)
+    numbered, row = stored_rows(table)
+    assert row == "_row_" and numbered.columns == [*table.columns, row]
+    assert "_metadata" in numbered._jdf.queryExecution().analyzed().toString() or numbered.inputFiles() == table.inputFiles()
+    found = {r.doc_id: r[row] for r in numbered.collect()}
+    assert len(set(found.values())) == 500 and min(found.values()) >= 0
+    other_splits()
+    assert {r.doc_id: r[row] for r in stored_rows(spark.read.parquet(path))[0].collect()} == found
+    changed, row = stored_rows(table.filter("doc_id < 100"))
+    assert changed.inputFiles() != table.inputFiles() and len({r[row] for r in changed.collect()}) == 100
