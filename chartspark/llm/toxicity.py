@@ -21,9 +21,12 @@ TEXTS_PER_CLASS = 4000
 WINDOW, STEP = 64, 48
 #: Bytes of the ordinary dictionary; number and bytes of the pieces that it is trained on.
 DICTIONARY, PIECES, PIECE = 16_384, 24_000, 256
-#: Units of which the toxic dictionary consists at most, how much more frequent in toxic text they have to be, units that
-#: are tested twice at most, and letters of the beginnings of words that are units.
+#: Units around which the toxic windows are cut, at most; how much more frequent in toxic text they have to be; units that
+#: are tested twice at most; and letters of the beginnings of words that are units.
 TOXIC_UNITS, RATIO, CANDIDATES, BEGINNINGS = 1024, 4.0, 20_000, (4, 5, 6, 7)
+#: What is tried for the toxic dictionary: characters on either side of a window's word, bytes of the dictionary, and bytes
+#: of the segments that the trainer takes over. The calibrating texts decide.
+SIDES, SIZES, SEGMENTS, SUBSTRING = (1, 2, 3), (1024, 4096), (12, 16), 8
 LEVEL = 9
 #: Ends every window and both dictionaries: a window that nothing else matches is then never stored uncompressed,
 #: and its length shows every byte saved.
@@ -112,10 +115,51 @@ def toxic_units(rows: DataFrame) -> list[str]:
     return [r["unit"] for r in found]
 
 
-def toxic_dictionary(found: list[str]) -> bytes:
-    """The units, the surest last, next to the ordinary text; those that another one begins with are in there already."""
-    starts = {u[:n] for u in found for n in range(1, len(u))}
-    return b"".join(u.encode("utf-8", "replace") for u in reversed(found) if u not in starts)
+def toxic_dictionaries(rows: DataFrame, found: list[str]) -> list[bytes]:
+    """zstandard's own dictionaries of windows of toxic text, one for each setting.
+
+    Most of a toxic text is ordinary, so a dictionary of all of it would hold what the ordinary one holds. The windows are
+    cut around the words that have one of the ``found`` units; those with the smallest hashes are taken. What of them
+    comes back often enough is the trainer's choice. The windows themselves where there are too few to train on.
+    """
+    wanted = frozenset(found)
+
+    def cut(batches):
+        for batch in batches:
+            for text in batch.column("text"):
+                low = text.as_py().lower()
+                spans = [m.span() for m in _WORD.finditer(low) if not wanted.isdisjoint(units(m[0]))]
+                if spans:
+                    pieces = [[low[max(0, a - n) : b + n].encode("utf-8", "replace") for n in SIDES] for a, b in spans]
+                    places = [zlib.crc32(f"{a} {low}".encode("utf-8", "replace")) for a, _ in spans]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(pieces, pa.list_(pa.binary())), pa.array(places, pa.int64())], names=["pieces", "place"]
+                    )
+
+    windows = in_arrow(rows.select("text"), cut, "pieces array<binary>, place long")
+    chosen = windows.orderBy("place", "pieces").limit(PIECES).collect()
+    out = []
+    for i in range(len(SIDES)):
+        pieces = [bytes(r["pieces"][i]) for r in chosen]
+        for size in SIZES:
+            for segment in SEGMENTS:
+                try:
+                    trained = zstandard.train_dictionary(size, pieces, k=segment, d=SUBSTRING, level=3).as_bytes()
+                except (zstandard.ZstdError, ValueError):
+                    trained = b"".join(dict.fromkeys(pieces))[:size]
+                if trained not in out:
+                    out.append(trained)
+    return out
+
+
+def _loss(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The weighted log loss of a curve on the half of the rows that it was not fitted to, for either half."""
+    total, half = 0.0, np.arange(len(y)) % 2 == 0
+    for fitted in (half, ~half):
+        p = np.clip(Logistic(x[fitted], y[fitted], weight[fitted])(x[~fitted]), 1e-6, 1 - 1e-6)
+        truth = y[~fitted]
+        total -= float((weight[~fitted] * (truth * np.log(p) + (1 - truth) * np.log(1 - p))).sum())
+    return total
 
 
 def ordinary_dictionary(rows: DataFrame) -> bytes:
@@ -143,8 +187,8 @@ def ordinary_dictionary(rows: DataFrame) -> bytes:
 class Compressors:
     """The lengths saved by the toxic dictionary, window by window.
 
-    Both dictionaries hold the ordinary one; the toxic one holds the windows of toxic words as well. A window without
-    any of them comes out equally long.
+    The toxic side has the toxic dictionary before the ordinary one, so a window without anything toxic comes out equally
+    long on both, and what is saved is the toxic dictionary's.
     """
 
     def __init__(self, ordinary: bytes, toxic: bytes):
@@ -195,9 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           texts_per_class: int = TEXTS_PER_CLASS) -> Model:
     """Dictionaries and thresholds from a bounded sample of the labelled texts.
 
-    Seven tenths of it give the dictionaries: the ordinary one is trained by zstandard, the toxic one holds the
-    units of :func:`toxic_units`. The rest, which the dictionaries have not seen, gives the savings on which the
-    score is calibrated, with classes weighted as they are among all labelled texts.
+    Seven tenths of it give the dictionaries, which zstandard trains: the ordinary one on pieces of ordinary texts, the
+    toxic ones on windows of toxic texts around the units of :func:`toxic_units`. The rest, which the dictionaries have
+    not seen, gives the savings by which one toxic dictionary is chosen and the score is calibrated, with classes weighted
+    as they are among all labelled texts.
     """
     marked = marks(labels, label, key)
     sizes = class_sizes(marked)
@@ -206,31 +251,36 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return Model(b"", b"", None, share)
     build, check = F.col("part") < 7, F.col("part") >= 7
     chosen = materialise(sample(docs, marked, texts_per_class, key, text))
-    toxic = toxic_dictionary(toxic_units(chosen.filter(build)))
-    model = Model(ordinary_dictionary(chosen.filter(build & (F.col("y") == 0))), toxic)
+    tried = toxic_dictionaries(chosen.filter(build & (F.col("y") == 1)), toxic_units(chosen.filter(build)))
+    ordinary = ordinary_dictionary(chosen.filter(build & (F.col("y") == 0)))
 
     def measured(batches):
-        compressors = Compressors(model.ordinary, model.toxic)
+        compressors = [Compressors(ordinary, toxic) for toxic in tried]
         for batch in batches:
-            found = [features(compressors.saved(t)) for t in batch.column("text").to_pylist()]
+            found = [[x for c in compressors for x in features(c.saved(t))] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.float64()))], names=["y", "x"])
 
-    seen = in_arrow(chosen.filter(check).select("y", "text"), measured, "y int, x array<double>").toArrow()
-    y = seen.column("y").to_numpy()
+    seen = in_arrow(chosen.filter(check).orderBy(F.xxhash64("text"), "text").select("y", "text"), measured, "y int, x array<double>").toArrow()
+    y = seen.column("y").to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return Model(b"", b"", None, share)
-    x = np.array(seen.column("x").to_pylist())
-    model.curve = Logistic(x, y.astype(float), class_weights(y, sizes))
-    return model
+    weight = class_weights(y.astype(int), sizes)
+    x = np.split(np.array(seen.column("x").to_pylist()), len(tried), axis=1)
+    best = min(range(len(tried)), key=lambda i: _loss(x[i], y, weight))
+    return Model(ordinary, tried[best], Logistic(x[best], y, weight))
 
 
 def ordinary_rows(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores below the threshold; scored where they are read."""
 
+    docs.select(F.col(text))  # an unknown or ambiguous name is Spark's error
+    exact = docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    place = [c if exact else c.lower() for c in docs.columns].index(text if exact else text.lower())
+
     def kept(batches):
         score = model.scorer()
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            texts = [t or "" for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(score(texts) < threshold, pa.bool_()))
 
     return in_arrow(docs, kept, docs.schema)

@@ -152,3 +152,45 @@ def test_windows_save_bytes_where_the_text_is_toxic():
     assert max(compressors.saved("xy vrexil and zounder jq")) >= 3
     assert max(compressors.saved("xy and jq pw mn")) <= 1
     assert compressors.saved("") == [0]
+
+
+def test_both_dictionaries_are_zstandards_own(spark):
+    docs, marks = tables(spark, *made(2, 1500))
+    model = toxicity.train(docs, marks)
+    for content in (model.ordinary, model.toxic):
+        assert content[:4] == bytes.fromhex("37a430ec") and toxicity.zstandard.ZstdCompressionDict(content).dict_id()
+    assert any(word in model.toxic for word in (b"vrexil", b"zounder", b"quibbeg"))
+
+
+def test_score_by_compressing_window_after_window(spark):
+    """The score from its definition: every window compressed alone with either dictionary."""
+    texts, labels = made(4, 900)
+    docs, marks = tables(spark, texts, labels)
+    model = toxicity.train(docs, marks)
+
+    def length(window, content):
+        raw = toxicity.zstandard.ZstdCompressionDict(content + toxicity.TAIL, dict_type=toxicity.zstandard.DICT_TYPE_RAWCONTENT)
+        options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+        return len(toxicity.zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=raw, **options).compress(window + toxicity.TAIL))
+
+    scored = {r.key: r.score for r in toxicity.toxicity(docs, marks, model=model).collect()}
+    for key, text in texts[:40]:
+        data, saved, at = text.lower().encode(), [], 0
+        while at == 0 or at < len(data) - toxicity.WINDOW + toxicity.STEP:
+            window = data[at : at + toxicity.WINDOW]
+            saved.append(length(window, model.ordinary) - length(window, model.toxic + model.ordinary))
+            at += toxicity.STEP
+        best = sorted((x for x in saved if x > 0), reverse=True)[:4]
+        x = best + [0] * (4 - len(best)) + [np.log1p(sum(s >= n for s in saved)) for n in (2, 3, 4)] + [np.log1p(len(saved))]
+        assert scored[key] == pytest.approx(float(model.curve(np.array([x], float))[0]), abs=1e-9)
+
+
+def test_the_text_column_is_found_as_spark_finds_it(spark):
+    texts, labels = made(3, 400)
+    docs, marks = tables(spark, texts, labels)
+    model = toxicity.train(docs, marks)
+    other = docs.selectExpr("doc_id", "text AS TEXT", "'nothing of interest' AS last")
+    kept = {r.doc_id for r in toxicity.ordinary_rows(docs, model).collect()}
+    assert {r.doc_id for r in toxicity.ordinary_rows(other, model).collect()} == kept and len(kept) < len(texts)
+    with pytest.raises(Exception):
+        toxicity.ordinary_rows(docs.drop("text"), model)
