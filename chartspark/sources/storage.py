@@ -1,6 +1,9 @@
 """Reading and writing tables, and the shared folder for intermediate results."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -8,10 +11,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results, which all executors reach.
 
-    It is the one named by ``spark.checkpoint.dir`` or set on the context; where neither is, a folder in the warehouse.
+    It is the one named by ``spark.checkpoint.dir`` or set on the context; where neither is, a folder in the warehouse. A
+    warehouse on a machine's own disk will not do for executors on others: ValueError.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and _on_one_machine(spark, warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return f"{warehouse}/_shared"
+
+
+def _on_one_machine(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -57,17 +71,44 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+#: Paths that the frames made inside a :func:`scratch` are stored at; the innermost scope comes last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope for what is stored on the way to a result: everything that :func:`materialise` stores in it is deleted at its
+    end, so the result has to be written by then. A long session needs no more room than its largest scope."""
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in paths:
+            drop_now(spark, path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them from there: the plan before it is not run again.
 
-    The files outlive the call, since the frame returned is lazy; the driver deletes them when it ends.
+    The files outlive the call, since the frame returned is lazy: they are deleted at the end of the :func:`scratch` around
+    the call, or when the driver ends.
     """
     path = fresh_path(df.sparkSession, "table")
     df.write.parquet(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """Write the rows to a path, which no scope deletes, and read them from there."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Read Parquet. A missing path raises."""
     reader = spark.read if schema is None else spark.read.schema(schema)

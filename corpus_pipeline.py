@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chartspark.llm import mixing, naming, packing, simhash, toxicity
 from chartspark.llm.common import rows_only, stored_rows, table
 from chartspark.llm.workload import tokenizer_path
-from chartspark.sources.storage import materialise
+from chartspark.sources.storage import drop_at_exit, drop_now, fresh_path, kept, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the table ``documents``, each on the stored rows of the one before."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages on the table ``documents``, each on the stored rows of the one before.
+
+    What a stage stores on its way is deleted when its rows are stored, and these when the next stage's are.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        path = fresh_path(spark, name)
+        drop_at_exit(spark, path)
+        with scratch(spark):
+            docs = kept(stage(spark, docs, sf_dir), path)
+        if before is not None:
+            drop_now(spark, before)
+        before = path
+    return docs

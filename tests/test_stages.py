@@ -321,3 +321,31 @@ def test_datasets_over_all_days(spark, lake, tmp_path):
         assert rows(copy.read(f"combined/{name}_to_date")) == whole[name]
     stages.combine_to_date(copy, "2022-05-11")  # a day again
     assert rows(copy.read("combined/unique_songs_to_date")) == whole["unique_songs"]
+
+
+def test_what_a_scope_stores_is_gone_at_its_end(spark, tmp_path):
+    with storage.scratch(spark):
+        outer = storage.materialise(spark.range(3))
+        with storage.scratch(spark):
+            inner = storage.materialise(outer.filter("id > 0"))
+            result = storage.kept(inner, str(tmp_path / "result"))
+        assert outer.count() == 3
+        with pytest.raises(Exception):
+            spark.read.parquet(*inner.inputFiles()).count()
+    assert result.count() == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(*outer.inputFiles()).count()
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Elsewhere:
+        """A session whose master is another machine and that names no folder."""
+
+        conf = type("conf", (), {"get": staticmethod(lambda name, *default: None if default else "file:/somewhere/warehouse")})
+        sparkContext = type("context", (), {"master": "spark://host:1", "getCheckpointDir": staticmethod(lambda: None)})
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Elsewhere)
+    Elsewhere.sparkContext.master = "local[2]"
+    assert storage.shared_folder(Elsewhere) == "file:/somewhere/warehouse/_shared"
