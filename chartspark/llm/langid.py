@@ -297,7 +297,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     limits = [(lang, 2**63 - 1 if share >= 1 else max(1, int(share * 2**64)) - 2**63) for lang, share in shares.items()]
     limits = docs.sparkSession.createDataFrame(limits, "lang string, limit long")
     smallest = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    texts = rows.join(limits, "lang").filter(F.xxhash64("text") <= F.col("limit")).select("lang", "text").distinct()
+    # as many rows as the model has labels; no text is shuffled but the chosen ones
+    texts = rows.join(F.broadcast(limits), "lang").filter(F.xxhash64("text") <= F.col("limit")).select("lang", "text").distinct()
     texts = texts.withColumn("nth", smallest).filter(F.col("nth") <= texts_per_language).select("lang", "text")
 
     def spread(batches):
