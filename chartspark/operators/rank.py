@@ -61,16 +61,22 @@ def sorted_rows(df: DataFrame, *order: Column | str) -> DataFrame:
     return counted.select(*df.columns, copies).drop("_copy")
 
 
+def _placed(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """The rows, sorted over the cluster and stored with the number of their sorted part and their place in it."""
+    return materialise(
+        df.orderBy(*order).withColumns(
+            {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+        )
+    )
+
+
 def numbered_rows(df: DataFrame, order: Sequence[Column | str], out: str = "number") -> DataFrame:
     """Number all rows from 1 in an order that tells them apart, without a task that sees them all.
 
     The rows are sorted over the cluster and stored with their place in the sorted part; the sizes of the parts before it
     give the rest. Only these sizes, one for each part, meet in one task.
     """
-    placed = df.orderBy(*order).withColumns(
-        {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
-    )
-    stored = materialise(placed)
+    stored = _placed(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = stored.groupBy("_part").agg(F.count("*").alias("_size"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
@@ -82,12 +88,20 @@ def numbered_rows(df: DataFrame, order: Sequence[Column | str], out: str = "numb
 def all_ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rank") -> DataFrame:
     """All rows of each group, numbered from 1 in an order that tells them apart; a hot group is no task of its own.
 
-    The first number of each group is stored, so that the join has a table on its right and splits hot groups. Groups are
-    not NULL.
+    The rows are sorted over the cluster by group and order and stored once. A group lies in one part or in several that
+    follow one another: where it begins in a part, and how many of its rows the parts before hold, is a row for each part
+    and group, and all that the rank needs besides a row's place. Groups are not NULL.
     """
-    numbered = numbered_rows(df, [*group, *order], "_number")
-    first = materialise(numbered.groupBy(*group).agg(F.min("_number").alias("_first")))
-    return numbered.join(first, list(group)).withColumn(rank, F.col("_number") - F.col("_first") + 1).drop("_number", "_first")
+    stored = _placed(df, [*group, *order])
+    sizes = stored.groupBy("_part", *group).agg(F.count("*").alias("_size"), F.min("_place").alias("_begin"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    offsets = sizes.select("_part", *group, (earlier - F.col("_begin") + 1).alias("_add"))
+    return (
+        stored.join(offsets, ["_part", *group])
+        .withColumn(rank, F.col("_place") + F.col("_add"))
+        .select(*df.columns, rank)
+    )
 
 
 def next_dates(df: DataFrame, creator: str, date: str) -> DataFrame:
