@@ -29,12 +29,16 @@ def quantised(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFram
     )
 
 
-def _matrix(vectors, width):
+def _matrix(vectors: pa.ListArray, width: int) -> np.ndarray:
     """One row each; shorter vectors are filled up with zeros, longer ones lose what no query has."""
-    out = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        part = v[:width]
-        out[i, : len(part)] = part
+    offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
+    sizes = np.diff(offsets)
+    if (sizes == width).all():
+        return flat[offsets[0] : offsets[-1]].reshape(-1, width)
+    taken = np.minimum(sizes, width)
+    place = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+    out = np.zeros((len(sizes), width))
+    out[np.repeat(np.arange(len(sizes)), taken), place] = flat[np.repeat(offsets[:-1], taken) + place]
     return out
 
 
@@ -60,7 +64,7 @@ def _scored(batches, queries):
         numbers = np.array([_MOST if k is None else k for k in keys.to_pylist()], np.int64)
         null = np.array(keys.is_null().to_numpy(zero_copy_only=False), bool)
         for i in range(0, batch.num_rows, step):
-            block = _matrix(values.slice(i, step).to_pylist(), queries["v"].shape[1])
+            block = _matrix(values.slice(i, step), queries["v"].shape[1])
             part = slice(i, i + len(block))
             own = (queries["keys"][:, None] == numbers[part][None, :]) & ~null[part][None, :]
             yield numbers[part], null[part], own, _products(queries["v"], block)
@@ -109,11 +113,9 @@ def top_k(
 
 def _part(spark, whole, asked, part, parts, k):
     chosen = asked.filter(F.pmod(F.xxhash64("key", "v"), F.lit(parts)) == part).toArrow()
-    values = chosen.column("v").to_pylist()
-    held = {
-        "keys": np.array(chosen.column("key").to_pylist(), np.int64),
-        "v": _matrix(values, max(map(len, values), default=1)),
-    }
+    values = chosen.column("v").combine_chunks()
+    width = int(np.diff(values.offsets.to_numpy()).max(initial=1))
+    held = {"keys": np.array(chosen.column("key").to_pylist(), np.int64), "v": _matrix(values, width)}
     n = len(held["keys"])
     # the sums of absolute values bound the scores
     most = whole.agg(F.max(F.array_max(F.transform("v", lambda c: F.abs(c))))).first()[0] or 0.0
