@@ -9,7 +9,7 @@ from chartspark.plans.workload import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 LAZY = sorted(set(QUERIES) - {
     "parquet_roundtrip", "publish_docs", "stream_ingest", "incremental_append", "kmeans_clusters", "pca_components",
-    "elbow_curve", "cluster_genre",
+    "elbow_curve", "cluster_genre", "kmeans_rows", "pca_layout", "elbow_inertia", "cluster_profile", "landmark_layout",
 })
 
 
@@ -61,3 +61,9 @@ def test_genre_performance_joins_aggregated_rows(spark):
     lines = text.split("\n")
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert any("HashAggregate(keys=[artist" in line for line in lines[join + 1:join + 4])
+
+
+def test_a_layout_by_landmarks_is_one_pass(spark):
+    """Rows are placed on Arrow batches, the one Python step, and nothing is shuffled."""
+    text = plan(QUERIES["landmark_layout"](spark, FOLDER))
+    assert text.count("MapInArrow") == 1 and "Exchange" not in text
