@@ -11,8 +11,8 @@ from chartspark.llm.common import fold, in_arrow, whole
 FOLDS, HELD_OUT = 4, 2
 #: Distinct texts of each language that are learnt from, and of all languages together; of each at least ``FEWEST``.
 TEXTS_PER_LANGUAGE, TEXTS, FEWEST = 200, 4000, 10
-#: Of so many texts of a language one is left out of the fit, to weigh the beginnings of texts by.
-LEFT_OUT = 5
+#: Of so many texts of a language in the sample one is for the fit; the others weigh the beginnings of texts.
+LEFT_OUT = 2
 #: Words of a training sequence, of a stretch of one text in it at most, and taken from a text, spread over all of it.
 SEQUENCE, STRETCH, WORDS_PER_TEXT = 64, 24, 144
 BUCKET_BITS = 16
@@ -277,8 +277,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
           texts_per_language: int = TEXTS_PER_LANGUAGE) -> Field | None:
     """A field from a bounded sample of the texts with a language; None if there are none.
 
-    The sample takes the distinct texts of each language with the smallest hashes, all of them if there are no more than
-    ``texts_per_language``; copies of a text do not count. With many languages it takes fewer of each, so that they are
+    The sample takes the distinct texts of each language with the smallest hashes, all of them if there are few: up to
+    ``texts_per_language`` to fit the field to, and as many that the field does not see; copies of a text do not count. With many languages it takes fewer of each, so that they are
     about ``TEXTS`` together, but ``FEWEST`` of each. All languages are learnt.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), whole(F.col(text)).alias("text"))
@@ -291,7 +291,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     )  # a row for each language
     if not sizes:
         return None
-    texts_per_language = min(texts_per_language, max(FEWEST, TEXTS // len(sizes)))
+    texts_per_language = LEFT_OUT * min(texts_per_language, max(FEWEST, TEXTS // len(sizes)))
     # twice as many as wanted: the numbers of texts are estimates, and so none comes out short
     shares = {r["lang"]: 2 * texts_per_language / max(1, r["texts"]) for r in sizes}
     limits = [(lang, 2**63 - 1 if share >= 1 else max(1, int(share * 2**64)) - 2**63) for lang, share in shares.items()]
@@ -320,7 +320,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     index = {label: i for i, label in enumerate(field.labels)}
     samples, truth = found.column("text").to_pylist(), np.array([index[x] for x in found.column("lang").to_pylist()])
     nth = np.arange(len(truth)) - np.searchsorted(truth, truth)  # of its language
-    out = nth % LEFT_OUT == LEFT_OUT - 1
+    out = nth % LEFT_OUT > 0
     words, labels = _sequences([t for t, x in zip(samples, out, strict=True) if not x], truth[~out])
     if len(labels):
         known = {w: i for i, w in enumerate(dict.fromkeys(words))}
