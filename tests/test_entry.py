@@ -31,7 +31,7 @@ def test_a_library_that_only_the_subpackage_needs_may_be_missing(tmp_path):
     script = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.LLM_QUERIES))"
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env={"PATH": "", "PYTHONPATH": str(ROOT)}, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
-    assert done.stdout.split() == [str(len(entry.QUERIES)), "0"] and "zstandard" in done.stderr
+    assert done.stdout.split() == [str(len(entry.QUERIES)), "0"] and "left out" in done.stderr
 
 
 def test_nothing_else_imports_the_subpackage():
