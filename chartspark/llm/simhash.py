@@ -20,6 +20,8 @@ PAIRS, ROWS, LINKS = 1 << 21, 1 << 18, 1 << 19
 TILE_ROWS = 8192
 #: Groups of anchors that are counted to find the large ones.
 BUCKETS = 1 << 16
+#: Different fingerprints from which on longer codes are taken.
+WIDE_FROM = 1 << 28
 
 
 def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
@@ -68,31 +70,39 @@ def fingerprints(
 
 
 class Code:
-    """The anchors of a segment of the fingerprint: Hamming (15, 11) codewords on its first 15 bits, any other bits.
+    """The anchors of some bits of the fingerprint: codewords of a Hamming code on the first of them, any other bits.
 
-    Every value is within ``RADIUS`` 1 of an anchor, its home. Two values that differ in one bit meet: the home of one is
-    within radius plus threshold, 2, of the other. ``bits`` is 15 or more.
+    The bits are ``bits`` from ``shift`` on, joined with ``more`` such places, 15 or more in all. With 31 or more the code is
+    (31, 26), else (15, 11). Every value is within ``RADIUS`` 1 of an anchor, its home. Two values that differ in one bit
+    meet: the home of one is within radius plus threshold, 2, of the other.
     """
 
     RADIUS = 1
 
-    def __init__(self, shift: int, bits: int):
-        self.shift, self.bits = shift, bits
-        self.syndromes = np.zeros(1 << 15, np.uint8)
-        for bit in range(15):
-            self.syndromes ^= ((np.arange(1 << 15) >> bit & 1) * (bit + 1)).astype(np.uint8)
-        # flips that lead from a value with the syndrome to all anchors within two bits, each with their distance
-        rest = [1 << b for b in range(15, bits)]
+    def __init__(self, shift: int, bits: int, *more: tuple[int, int]):
+        self.pieces = ((shift, bits), *more)
+        self.bits = sum(n for _, n in self.pieces)
+        self.length = 31 if self.bits >= 31 else 15
+        places = np.arange(1 << 16)
+        tables = np.zeros((2, 1 << 16), np.uint8)  # what the first and the next 16 bits add to the syndrome
+        for bit in range(self.length):
+            tables[bit // 16] ^= ((places >> bit % 16 & 1) * (bit + 1)).astype(np.uint8)
+        self.syndromes, self.upper = tables
+        # flips that lead from a value with the syndrome to all anchors within two bits, the home first
+        rest = [1 << b for b in range(self.length, self.bits)]
         self.flips = {0: [0] + rest + [a | b for i, a in enumerate(rest) for b in rest[i + 1 :]]}
-        for s in range(1, 16):
+        for s in range(1, self.length + 1):
             home = 1 << (s - 1)
-            pairs = {tuple(sorted((i, i ^ s))) for i in range(1, 16) if 0 < i ^ s != i}
+            pairs = {tuple(sorted((i, i ^ s))) for i in range(1, self.length + 1) if 0 < i ^ s != i}
             self.flips[s] = [home] + [home | r for r in rest] + [1 << (i - 1) | 1 << (j - 1) for i, j in sorted(pairs)]
 
+    def syndrome(self, values: np.ndarray) -> np.ndarray:
+        return self.syndromes[values & 0xFFFF] ^ self.upper[values >> 16 & 0xFFFF]
+
     def anchors(self, prints: np.ndarray):
         """(places of the fingerprints, anchors, is it the home) of all anchors within two bits."""
-        values = (prints >> np.uint64(self.shift) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
-        syndromes = self.syndromes[values & 0x7FFF]
+        values = _joined(prints, self.pieces)
+        syndromes = self.syndrome(values)
         for s, flips in self.flips.items():
             at = np.flatnonzero(syndromes == s)
             if len(at):
@@ -103,25 +113,43 @@ class Code:
 
 
 class Exact:
-    """All values of a segment are anchors: radius 0, threshold 0."""
+    """All values of some bits are anchors: radius 0, threshold 0."""
 
     def __init__(self, shift: int, bits: int):
         self.shift, self.bits = shift, bits
 
     def anchors(self, prints: np.ndarray):
-        values = (prints >> np.uint64(self.shift) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        values = _joined(prints, [(self.shift, self.bits)])
         yield np.arange(len(values)), values, np.ones(len(values), bool)
 
 
-def covering(max_bits: int) -> list:
-    """Segments whose thresholds, each plus one, sum up to more than ``max_bits``.
+def _joined(prints: np.ndarray, pieces) -> np.ndarray:
+    values = np.zeros(len(prints), np.uint64)
+    for shift, bits in pieces:
+        values = values << np.uint64(bits) | prints >> np.uint64(shift) & np.uint64((1 << bits) - 1)
+    return values.astype(np.int64)
+
+
+#: Six blocks of the fingerprint, and triples of them: however four bits fall on the blocks, some triple has one at most.
+#: (Blocks in pairs; each pair goes with either block of the next. So any two blocks are in a triple, and of any four
+#: blocks three are one.)
+BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+TRIPLES = [(0, 1, 2), (0, 1, 3), (2, 3, 4), (2, 3, 5), (4, 5, 0), (4, 5, 1)]
+
+
+def covering(max_bits: int, prints: int = 0) -> list:
+    """Bits to be covered, so that fingerprints within ``max_bits`` differ by no more than the threshold in one part.
 
-    Fingerprints within ``max_bits`` then differ by no more than the threshold in one segment at least. For four bits:
-    two segments of 24 bits at threshold 1 (a code of 2 ** 20 anchors each, about 19 within two bits of a value) and
-    one of 16 bits that has to agree. Of random fingerprints, one in 30,000 pairs is compared.
+    Parts that do not overlap do so if their thresholds, each plus one, sum up to more than ``max_bits``. For four bits
+    these are two segments of 24 bits at threshold 1 (2 ** 20 anchors each, about 19 within two bits of a value) and one of
+    16 bits that has to agree: 39 rows a fingerprint, and of random fingerprints one pair in 20,000 is compared. With
+    ``WIDE_FROM`` fingerprints or more, comparisons, which grow with the square, outweigh rows, and triples of blocks
+    are taken: six codes on 31 to 33 bits, 99 rows a fingerprint, one pair in 1.2 million. Either finds all.
     """
     if max_bits <= 2:
         return [Code(0, 32), Exact(32, 32)]
+    if max_bits <= 4 and prints >= WIDE_FROM:
+        return [Code(*BLOCKS[i], BLOCKS[j], BLOCKS[k]) for i, j, k in TRIPLES]
     if max_bits <= 4:
         return [Code(0, 24), Code(24, 24), Exact(48, 16)]
     if max_bits <= 7:
@@ -172,7 +200,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     than ``TILE_ROWS`` are cut into tiles of homes times others, so no task gets a large one whole; the list of those
     groups, at most ``BUCKETS``, is all that is broadcast.
     """
-    codes = covering(max_bits)
+    codes = covering(max_bits, prints.count())
 
     def anchored(batches):
         for batch in batches:
@@ -182,7 +210,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                     for k in range(0, len(at), ROWS):
                         part = slice(k, k + ROWS)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(anchor[part] * 4 + segment), pa.array(own[at[part]].view(np.int64)), pa.array(home[part])],
+                            [pa.array(anchor[part] * 8 + segment), pa.array(own[at[part]].view(np.int64)), pa.array(home[part])],
                             names=["anchor", "print", "home"],
                         )
 
@@ -267,9 +295,9 @@ def simhash_groups(
     The shingles are ``words`` words long (lower-cased A-Z, split at ASCII white space); a text with fewer words is one
     shingle, a text without words (empty or NULL) has fingerprint zero and is linked like any other.
 
-    Returns a row for every row of the stored table ``docs``: row (from its column of that name, if one is named), key, fingerprint (16 hexadecimal digits), component
-    (smallest key that is not NULL among all linked rows), kept (the row with that key; of several the first in the
-    table). Equal fingerprints are one node, so copies cost one row; hot ones are split by the join's skew handling. An
+    Returns a row for every row of the stored table ``docs``: row (from its column of that name, if one is named), key,
+    fingerprint (16 hexadecimal digits), component (smallest key that is not NULL among all linked rows), kept (the row with
+    that key; of several the first in the table). Equal fingerprints are one node, so copies cost one row; hot ones are split by the join's skew handling. An
     empty table gives an empty result.
     """
     rows = materialise(fingerprints(docs, key, text, words, row))

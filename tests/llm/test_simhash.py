@@ -1,5 +1,6 @@
 """Fingerprints bit by bit, and groups against all pairs."""
 
+import itertools
 import random
 import re
 
@@ -75,6 +76,52 @@ def test_every_value_has_one_home_within_the_radius():
     assert (homes == 1).all()
 
 
+def test_any_four_bits_leave_a_triple_of_blocks_with_one_at_most():
+    assert sorted(b for shift, n in simhash.BLOCKS for b in range(shift, shift + n)) == list(range(64))
+    for fallen in itertools.combinations_with_replacement(range(6), 4):
+        assert any(sum(f in triple for f in fallen) <= 1 for triple in simhash.TRIPLES)
+
+
+@pytest.mark.parametrize("max_bits", [3, 4])
+@pytest.mark.parametrize("spread", [11, 33, 64])
+def test_long_codes_meet_too(max_bits, spread):
+    pick = random.Random(spread)
+    codes = simhash.covering(max_bits, simhash.WIDE_FROM)
+    assert len(codes) == len(simhash.TRIPLES) and all(c.length == 31 for c in codes)
+    a = np.array([pick.getrandbits(64) for _ in range(400)], np.uint64)
+    flips = [sum(1 << bit for bit in pick.sample(range(spread), max_bits)) for _ in a]
+    b = a ^ np.array(flips, np.uint64)
+    met = np.zeros(len(a), bool)
+    for code in codes:
+        homes = {(i, x) for at, near, home in code.anchors(a) for i, x in zip(at[home].tolist(), near[home].tolist())}
+        for at, near, _ in code.anchors(b):
+            for i, x in zip(at.tolist(), near.tolist()):
+                met[i] |= (i, x) in homes
+    assert met.all()
+
+
+def test_every_value_has_one_home_by_a_long_code():
+    code = simhash.Code(44, 10, (54, 10), (0, 13))
+    prints = np.array([random.Random(3).getrandbits(64) for _ in range(3000)], np.uint64)
+    values = simhash._joined(prints, code.pieces)
+    homes = np.zeros(len(prints), int)
+    for at, anchor, home in code.anchors(prints):
+        distance = np.bitwise_count(anchor ^ values[at])
+        assert (distance <= 2).all() and (distance[home] <= code.RADIUS).all() and (code.syndrome(anchor) == 0).all()
+        homes[at[home]] += 1
+    assert (homes == 1).all()
+
+
+def test_long_codes_give_the_same_components(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "WIDE_FROM", 1)
+    prints = sorted(set(near_prints(random.Random(9), 300)))
+    signed = [x - (1 << 64) if x >> 63 else x for x in prints]
+    frame = spark.createDataFrame([(x,) for x in signed], "print long")
+    roots = {r.node: r.root for r in components.components(simhash.links(frame)).collect()}
+    found, expected = [roots.get(x, x) for x in signed], groups(prints, 4)
+    assert len(set(zip(found, expected))) == len(set(found)) == len(set(expected))
+
+
 def near_prints(pick, n):
     centres = [pick.getrandbits(64) for _ in range(n // 8 + 1)]
     out = []
