@@ -51,14 +51,17 @@ def emotional_impact(valence: Column, energy: Column, liveness: Column) -> Colum
     return valence * energy * liveness
 
 
-def with_extremes(df: DataFrame, columns: Sequence[str], out: str = "_extremes") -> DataFrame:
+def with_extremes(
+    df: DataFrame, columns: Sequence[str], out: str = "_extremes", over: DataFrame | None = None
+) -> DataFrame:
     """Add a struct of the smallest and largest value of each column over the whole frame.
 
     All of them come from one aggregate, read back as a scalar subquery, so nothing passes through the driver
-    program. As a column of its own the subquery is planned once and not once per use.
+    program. As a column of its own the subquery is planned once and not once per use. ``over`` is a frame of fewer rows
+    with the same extremes, which is read instead.
     """
     extremes = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
-    return df.withColumn(out, df.agg(F.struct(*extremes)).scalar())
+    return df.withColumn(out, (df if over is None else over).agg(F.struct(*extremes)).scalar())
 
 
 def scaled(column: str, extremes: str = "_extremes", constant: float | None = None) -> Column:
@@ -91,16 +94,19 @@ def with_audio_features(
     duration_unit: str = "ms",
     shares: Mapping[str, str] | None = None,
     latest: str | None = None,
+    over: DataFrame | None = None,
 ) -> DataFrame:
     """Age, minutes, 0-1 loudness and tempo, and the two composite indexes.
 
     ``shares`` adds columns as a percentage of their maximum, ``{source: target}``, and ``latest`` names a date column,
-    left out of the result, whose largest value is the day of reference; both at no further pass.
+    left out of the result, whose largest value is the day of reference; both at no further pass. ``over`` is a frame of
+    fewer rows with the same extremes of loudness, tempo, shares and dates.
     """
     shares = shares or {}
     if latest is not None:
         as_of = F.col("_extremes")[latest]["high"]
-    renamed = df.withColumnsRenamed({"loudness": "loudness_dB", "tempo": "tempo_bpm"})
+    names = {"loudness": "loudness_dB", "tempo": "tempo_bpm"}
+    renamed, over = df.withColumnsRenamed(names), None if over is None else over.withColumnsRenamed(names)
     loudness = scaled("loudness_dB")
     added = {target: share_of_max(source) for source, target in shares.items()}
     added |= {
@@ -112,7 +118,8 @@ def with_audio_features(
         "emotional_impact": emotional_impact(F.col("valence"), F.col("energy"), F.col("liveness")),
     }
     dates = [latest] if latest is not None else []
-    return with_extremes(renamed, ["loudness_dB", "tempo_bpm", *shares, *dates]).withColumns(added).drop("_extremes", *dates)
+    scales = with_extremes(renamed, [*names.values(), *shares, *dates], over=over)
+    return scales.withColumns(added).drop("_extremes", *dates)
 
 
 def with_popularity_category(df: DataFrame, platform: str) -> DataFrame:

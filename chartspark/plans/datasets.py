@@ -29,22 +29,30 @@ from chartspark.sources import landing
 
 
 def formatted_chart_a(
-    raw: DataFrame, as_of: Column | None = None, artist_ids: bool = False, latest: str | None = None
+    raw: DataFrame,
+    as_of: Column | None = None,
+    artist_ids: bool = False,
+    latest: str | None = None,
+    over: DataFrame | None = None,
 ) -> DataFrame:
     """``raw`` is read twice: its extremes come first, from the few columns they need. ``artist_ids`` keeps the artists'
-    ids; for ``latest`` see :func:`~chartspark.functions.features.with_audio_features`."""
+    ids; for ``latest`` and ``over`` see :func:`~chartspark.functions.features.with_audio_features`."""
     typed = cast_columns(raw, ["duration_ms"], ["rank", "mode", "time_signature", "key"], ["explicit"], "release_date")
     return (
         typed.transform(with_popularity_category, "spotify")
-        .transform(with_audio_features, as_of, latest=latest)
+        .transform(with_audio_features, as_of, latest=latest, over=over)
         .drop("duration_ms", *([] if artist_ids else ["artist_id"]))
     )
 
 
 def formatted_chart_b(
-    enriched: DataFrame, as_of: Column | None = None, duration_unit: str = "ms", latest: str | None = None
+    enriched: DataFrame,
+    as_of: Column | None = None,
+    duration_unit: str = "ms",
+    latest: str | None = None,
+    over: DataFrame | None = None,
 ) -> DataFrame:
-    """``enriched`` is read twice: its extremes come first, from the few columns they need."""
+    """``enriched`` is read twice, unless ``over`` is given: its extremes come first, from the few columns they need."""
     typed = cast_columns(
         enriched,
         ["duration_ms", "lastfm_listeners"],
@@ -54,7 +62,7 @@ def formatted_chart_b(
     )
     shares = {"lastfm_listeners": "lastfm_popularity"}
     return (
-        typed.transform(with_audio_features, as_of, duration_unit, shares, latest)
+        typed.transform(with_audio_features, as_of, duration_unit, shares, latest, over)
         .transform(with_popularity_category, "lastfm")
         .drop("duration_ms", "spotify_popularity")
     )

@@ -2,14 +2,17 @@
 
 An order line is a chart entry: its part is the track, the part's brand the artist, the line number the rank.
 Platform A files it under the supplier's nation, platform B under the customer's. Brands get a genre from the
-words of their part names. A raw chart is read twice, once for its extremes and its last day.
+words of their part names. The extremes of a raw chart and its last day come from the least and most of each part.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chartspark.functions.classify import Rules, keyword_genre
 from chartspark.operators.rank import all_ranked, top_n
 from chartspark.plans import datasets
+from chartspark.sources.storage import materialise
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -78,10 +81,10 @@ def _entry_columns() -> dict[str, Column]:
         "artist": c("p_brand"),
         "artist_id": c("l_suppkey").cast("string"),
         "album": c("p_type"),
-        "duration_ms": F.floor("l_extendedprice").cast("bigint"),
+        "duration_ms": c("price"),
         "spotify_popularity": (c("l_quantity") * 2).cast("bigint"),
-        "explicit": c("l_returnflag") == "R",
-        "release_date": date_text(c("l_shipdate"), c("l_linenumber") % 3),
+        "explicit": c("returned"),
+        "release_date": date_text(c(SHIPPED), c("l_linenumber") % 3),
         "energy": c("l_discount") * 10,
         "danceability": c("l_tax") * 12,
         "key": c("p_size").cast("bigint") % 12,
@@ -108,19 +111,48 @@ _ENTRY_SQL = f"""CAST(l_linenumber AS BIGINT) AS rank, CAST(l_partkey AS VARCHAR
     CAST(l_linenumber AS BIGINT) % 3 + 3 AS time_signature"""
 
 
-def _lines_with_part(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+SHIPPED = "shipped"
 
 
-SHIPPED = "shipped"
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with what their entries need, in the narrowest types: they are shuffled by order and by part."""
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+        F.floor("l_extendedprice").cast("bigint").alias("price"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        (F.col("l_linestatus") == "F").alias("closed"),
+        F.col("l_shipdate").cast("date").alias(SHIPPED),
+    )
+
+
+def _lines_a(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with the nation of their supplier."""
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("of_nation"))
+    return _lines(spark, sf).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def _lines_b(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with the nation of their customer. Orders meet the customers before the lines, so these are shuffled once."""
+    customers = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("of_nation"))
+    buyers = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return _lines(spark, sf).join(
+        buyers.select("o_orderkey", "of_nation").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+
+
+def _with_part(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
+    """The part comes last, while the rows are narrow, and by a sort-merge join however small the parts are: the rows of a
+    track then lie in one task, where most of them merge before a wide shuffle."""
+    return lines.join(table(spark, sf, "part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+
+
+def _in_nation(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
+    return rows.join(nations(spark, sf), F.col("of_nation") == F.col("nationkey"))
 
 
 def raw_a(spark: SparkSession, sf: str, *added: Column) -> DataFrame:
-    return (
-        _lines_with_part(spark, sf)
-        .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nations(spark, sf), F.col("s_nationkey") == F.col("nationkey"))
-        .select("country", "continent", *[v.alias(k) for k, v in _entry_columns().items()], *added)
+    return _in_nation(spark, sf, _with_part(spark, sf, _lines_a(spark, sf))).select(
+        "country", "continent", *[v.alias(k) for k, v in _entry_columns().items()], *added
     )
 
 
@@ -138,20 +170,14 @@ _B_ADDED = ["track_id", "album", "spotify_popularity", "explicit", "release_date
 
 def enriched_b(spark: SparkSession, sf: str, *added: Column) -> DataFrame:
     entry = _entry_columns()
-    return (
-        _lines_with_part(spark, sf)
-        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations(spark, sf), F.col("c_nationkey") == F.col("nationkey"))
-        .select(
-            "country",
-            "continent",
-            *[entry[c].alias(c) for c in _B_COLUMNS],
-            F.floor("l_extendedprice").cast("string").alias("lastfm_listeners"),
-            F.concat(F.lit("https://charts.example/"), F.col("l_partkey")).alias("lastfm_url"),
-            *[F.when(F.col("l_linestatus") == "F", entry[c]).alias(c) for c in _B_ADDED],
-            *added,
-        )
+    return _in_nation(spark, sf, _with_part(spark, sf, _lines_b(spark, sf))).select(
+        "country",
+        "continent",
+        *[entry[c].alias(c) for c in _B_COLUMNS],
+        F.col("price").cast("string").alias("lastfm_listeners"),
+        F.concat(F.lit("https://charts.example/"), F.col("l_partkey")).alias("lastfm_url"),
+        *[F.when(F.col("closed"), entry[c]).alias(c) for c in _B_ADDED],
+        *added,
     )
 
 
@@ -167,16 +193,45 @@ enriched_b AS (
     FROM lines_b)"""
 
 
-def _shipped() -> Column:
-    return F.col("l_shipdate").cast("date").alias(SHIPPED)
+def _per_part(spark: SparkSession, sf: str, lines: DataFrame, keys: Sequence[str], *columns: str) -> DataFrame:
+    """The parts of the lines with the least and the most of some columns, a row for each: far fewer rows than the lines,
+    which have to meet their part only for its own columns."""
+    ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("least", F.min), ("most", F.max))]
+    found = _in_nation(spark, sf, lines).groupBy("l_partkey", *keys).agg(*ends)
+    both = [F.struct(*[F.col(f"{name}_{c}").alias(c) for c in columns]) for name in ("least", "most")]
+    return _with_part(spark, sf, found).withColumn("end", F.explode(F.array(*both)))
+
+
+def extremes_a(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame of fewer rows with the extremes of :func:`raw_a`."""
+    entry = _entry_columns()
+    ends = _per_part(spark, sf, _lines_a(spark, sf), [], SHIPPED)
+    return ends.select(*[entry[c].alias(c) for c in ("loudness", "tempo")], f"end.{SHIPPED}")
+
+
+def extremes_b(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame of fewer rows with the extremes of :func:`enriched_b`."""
+    entry = _entry_columns()
+    ends = _per_part(spark, sf, _lines_b(spark, sf), ["closed"], "price", SHIPPED)
+    return ends.select(
+        *[F.when(F.col("closed"), entry[c]).alias(c) for c in ("loudness", "tempo")],
+        F.col("end.price").cast("double").alias("lastfm_listeners"),
+        f"end.{SHIPPED}",
+    )
 
 
-def formatted_a(spark: SparkSession, sf: str, artist_ids: bool = False) -> DataFrame:
-    return datasets.formatted_chart_a(raw_a(spark, sf, _shipped()), artist_ids=artist_ids, latest=SHIPPED)
+def formatted_a(spark: SparkSession, sf: str, artist_ids: bool = False, stored: bool = False) -> DataFrame:
+    """With ``stored`` the raw chart is written first: for charts that several jobs read."""
+    raw = raw_a(spark, sf, F.col(SHIPPED))
+    raw, over = (materialise(raw), None) if stored else (raw, extremes_a(spark, sf))
+    return datasets.formatted_chart_a(raw, artist_ids=artist_ids, latest=SHIPPED, over=over)
 
 
-def formatted_b(spark: SparkSession, sf: str) -> DataFrame:
-    return datasets.formatted_chart_b(enriched_b(spark, sf, _shipped()), latest=SHIPPED)
+def formatted_b(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
+    """For ``stored`` see :func:`formatted_a`."""
+    raw = enriched_b(spark, sf, F.col(SHIPPED))
+    raw, over = (materialise(raw), None) if stored else (raw, extremes_b(spark, sf))
+    return datasets.formatted_chart_b(raw, latest=SHIPPED, over=over)
 
 
 def _formatted_sql(source: str, platform: str, dropped: str) -> str:
