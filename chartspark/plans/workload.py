@@ -771,8 +771,8 @@ _ALIGNED_SQL = f"""{_CHARTS_SQL},
         LEFT JOIN (SELECT country, country_code, nationkey FROM nations) USING (country))"""
 
 
-def _charts(spark, sf) -> DataFrame:
-    return datasets.charts_by_source(inputs.formatted_a(spark, sf), inputs.formatted_b(spark, sf))
+def _charts(spark, sf, stored: bool = False) -> DataFrame:
+    return datasets.charts_by_source(inputs.formatted_a(spark, sf, stored=stored), inputs.formatted_b(spark, sf, stored))
 
 
 def _songs(spark, sf, **options) -> DataFrame:
@@ -883,13 +883,13 @@ def _taken_in(spark, name: str, summary, rows: DataFrame) -> DataFrame:
 @query(ORACLES["unique_items"])
 def songs_to_date(spark, sf):
     """Unique songs from the stored summaries of three days: the SQL knows nothing of days."""
-    per_artist = _taken_in(spark, "songs", datasets.song_summary(), _charts(spark, sf))
+    per_artist = _taken_in(spark, "songs", datasets.song_summary(), _charts(spark, sf, stored=True))
     return comparable(datasets.songs_of_summary(per_artist, inputs.artists(spark, sf), _countries(spark, sf)), ["avg_rank"])
 
 
 @query(ORACLES["genre_performance"])
 def genres_to_date(spark, sf):
-    per_artist = _taken_in(spark, "genres", datasets.GENRE_SUMMARY, _charts(spark, sf))
+    per_artist = _taken_in(spark, "genres", datasets.GENRE_SUMMARY, _charts(spark, sf, stored=True))
     return comparable(datasets.genres_of_summary(per_artist, inputs.artists(spark, sf)), _GENRE_AVERAGES)
 
 
