@@ -924,7 +924,8 @@ def viral_tracks(spark, sf):
 @query(ORACLES["viral_songs"])
 def recent_by_date(spark, sf):
     """Viral songs from a chart that is stored by release date and has no age: files of older songs are skipped."""
-    chart = layout.stored_clustered(inputs.formatted_a(spark, sf).drop("track_age_days"), "release_date", parts=8)
+    parts = layout.parts_for(table(spark, sf, "lineitem").count(), least=8)  # a line has one entry, if any
+    chart = layout.stored_clustered(inputs.formatted_a(spark, sf).drop("track_age_days"), "release_date", parts=parts)
     as_of = table(spark, sf, "lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).scalar()
     recent = datasets.released_since(chart, as_of)
     return rank.sorted_rows(recent.select(*_VIRAL_COLUMNS), F.desc("spotify_popularity"), "country", "rank")

@@ -9,6 +9,8 @@ from chartspark.sources.storage import drop_at_exit, fresh_path
 #: A key with more than this multiple of a bucket's even share of the rows keeps a table from being bucketed: one task reads
 #: a bucket.
 MOST_OF_A_BUCKET = 4.0
+#: Rows that one task sorts and writes: about 120 MB of a formatted chart in the shuffle before it.
+ROWS_PER_PART = 1_000_000
 
 
 def largest_share(df: DataFrame, keys: Sequence[str]) -> float:
@@ -42,6 +44,11 @@ def open_bucketed(spark: SparkSession, path: str, schema: str, keys: Sequence[st
     return spark.table(name)
 
 
+def parts_for(rows: int, least: int = 1) -> int:
+    """The number of parts for so many rows: it grows with them, so that a part does not."""
+    return max(least, -(-rows // ROWS_PER_PART))
+
+
 def clustered(df: DataFrame, *columns: str, parts: int | None = None) -> DataFrame:
     """The rows in parts by ranges of the columns, sorted in each: files written from it hold narrow ranges, and a filter on
     the first column skips most files and row groups by the extremes that Parquet keeps.
