@@ -1,0 +1,97 @@
+"""What the chart queries shuffle, store and deal, on tables with orphans, NULLs and repeated keys."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chartspark.plans import inputs, workload
+from chartspark.sources import layout
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    pick, root = random.Random(5), tmp_path_factory.mktemp("tables")
+    day = datetime(2020, 1, 1)
+
+    def line(order):
+        return (
+            order, pick.choice([*range(1, 45), None]), pick.choice([1, 2, 3, 4, 9, None]), pick.randrange(1, 8),
+            float(pick.randrange(1, 51)), pick.choice([round(pick.uniform(10, 9000), 2), None]), 0.05, 0.02,
+            pick.choice(["R", "A", None]), pick.choice(["F", "O", None]), pick.choice([day + timedelta(days=pick.randrange(900)), None]),
+        )
+
+    # what has the largest values belongs to an order, a supplier or a part that is not there
+    orphans = [
+        (999, 1, 1, 1, 5.0, 99_999.0, 0.0, 0.0, "R", "F", day + timedelta(days=5000)),
+        (1, 1, 99, 1, 5.0, 88_888.0, 0.0, 0.0, "R", "F", day + timedelta(days=4000)),
+        (1, 99, 1, 1, 5.0, 77_777.0, 0.0, 0.0, "R", "F", day + timedelta(days=6000)),
+    ]
+    part = [(k, f"name {k}", f"Brand#{k % 5}", "type", k % 50 + 1, 900.0 + k) for k in range(1, 41)]
+    tables = {
+        "region": [(0, "ASIA"), (1, "EUROPE")],
+        "nation": [(0, "INDIA", 0), (1, "FRANCE", 1)],
+        "customer": [(k, f"c{k}", k % 2 if k < 9 else None, 1.0, "m") for k in (*range(1, 10), 3)],
+        "supplier": [(1, "s1", 0, 1.0), (2, "s2", 1, 1.0), (2, "s2", 0, 1.0), (3, "s3", None, 1.0), (4, "s4", 7, 1.0)],
+        # parts that no line has, or whose size is the largest, and one that comes twice
+        "part": [*part, (2, "name 2", "Brand#9", "type", 3, 901.0), (500, "unsold", "Brand#1", "type", 500, 9999.0), (41, None, None, None, None, None)],
+        "orders": [(k, pick.choice([*range(1, 11), None]), "O", 1.0, day, "p") for k in (*range(1, 120), 7)],
+        "lineitem": [*(line(pick.randrange(1, 125)) for _ in range(3000)), *orphans],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, inputs.TABLES[name]).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def ends(df, columns):
+    return df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]).first().asDict()
+
+
+def test_extremes_by_part_are_those_of_the_chart(spark, folder):
+    shipped = F.col(inputs.SHIPPED)
+    a, b = inputs.raw_a(spark, folder, shipped), inputs.enriched_b(spark, folder, shipped)
+    b = b.withColumn("lastfm_listeners", F.col("lastfm_listeners").cast("double"))
+    columns = ["loudness", "tempo", inputs.SHIPPED]
+    found = ends(inputs.extremes_a(spark, folder), columns)
+    assert found == ends(a, columns) and None not in found.values()
+    columns.append("lastfm_listeners")
+    found = ends(inputs.extremes_b(spark, folder), columns)
+    assert found == ends(b, columns) and None not in found.values()
+    assert inputs.extremes_b(spark, folder).count() < b.count() / 2
+
+
+def test_a_stored_chart_has_the_same_rows(spark, folder):
+    for make in (inputs.formatted_a, inputs.formatted_b):
+        lazy, stored = make(spark, folder), make(spark, folder, stored=True)
+        assert lazy.columns == stored.columns and lazy.count() > 1000
+        assert lazy.exceptAll(stored).isEmpty() and stored.exceptAll(lazy).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["formatted_chart_b", "unique_items", "unioned_charts"])
+def test_lines_meet_their_part_last_and_by_a_shuffle(spark, folder, name):
+    """However small the parts are, so that what is shuffled grows with the lines; no name of a part is shuffled by order."""
+    text = workload.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_partkey" in text and "BroadcastHashJoin [l_partkey" not in text
+    by_order = text[text.index("Exchange hashpartitioning(l_orderkey"):].split("Exchange", 2)[1]
+    assert "p_name" not in by_order and "part.parquet" not in by_order
+
+
+@pytest.mark.parametrize("name", ["songs_to_date", "genres_to_date"])
+def test_days_are_taken_in_from_stored_charts(spark, folder, monkeypatch, name):
+    taken, take_in = [], workload._taken_in
+    monkeypatch.setattr(workload, "_taken_in", lambda s, n, summary, rows: taken.append(rows) or take_in(s, n, summary, rows))
+    workload.QUERIES[name](spark, folder)
+    plan = taken[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Parquet" in plan and "lineitem.parquet" not in plan
+
+
+def test_parts_of_a_clustered_chart_grow_with_its_rows(spark, folder, monkeypatch):
+    assert [layout.parts_for(n, least=8) for n in (0, 8_000_000, 8_000_001, 216_000_000)] == [8, 8, 9, 216]
+    parts, store = [], layout.stored_clustered
+    monkeypatch.setattr(layout, "ROWS_PER_PART", 100)
+    monkeypatch.setattr(layout, "stored_clustered", lambda *a, **k: parts.append(k["parts"]) or store(*a, **k))
+    recent = workload.QUERIES["recent_by_date"](spark, folder)
+    assert parts == [31]  # of 3003 lines
+    # the last day is that of all lines, and no line with an entry is near it
+    assert recent.count() == 0
